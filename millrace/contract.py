@@ -36,21 +36,25 @@ def _scalar(df: DataFrame):
 
 # ---------------------------------------------------------------- daily ETL
 
-ETL_ARGS = dict(
-    fact_key="l_partkey", dim_key="p_partkey", date_col="l_shipdate",
-    fact_select={"transaction_id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                                               F.col("l_linenumber").cast("string")),
-                 "sale_amount": "l_extendedprice"},
-    dim_select={"product_name": "p_name", "category": "p_type"},
-    filters={"l_returnflag": "A"},
-)
+def etl_args() -> dict:
+    """Mapping of the daily sales job onto lineitem x part."""
+    return dict(
+        fact_key="l_partkey", dim_key="p_partkey", date_col="l_shipdate",
+        fact_select={"transaction_id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                                                   F.col("l_linenumber").cast("string")),
+                     "sale_amount": "l_extendedprice"},
+        dim_select={"product_name": "p_name", "category": "p_type"},
+        filters={"l_returnflag": "A"},
+    )
+
+
 ETL_SCHEMA = "transaction_id string, sale_amount double, product_name string, category string, sale_date date"
 
 
 def q_daily_etl(spark, sf_dir):
     li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     day = _scalar(li.agg(F.max(F.to_date("l_shipdate"))))
-    return daily.daily_etl(li, part, day, **ETL_ARGS)
+    return daily.daily_etl(li, part, day, **etl_args())
 
 
 def q_daily_backfill(spark, sf_dir, days: int = 30):
@@ -58,7 +62,7 @@ def q_daily_backfill(spark, sf_dir, days: int = 30):
     today = _scalar(li.agg(F.max(F.to_date("l_shipdate"))))
     target = scratch_path(spark, "daily_backfill")
     daily.daily_backfill(spark, li, part, target, default_start=today - _dt.timedelta(days=days),
-                         today=today, **ETL_ARGS)
+                         today=today, **etl_args())
     return spark.read.schema(ETL_SCHEMA).parquet(target)
 
 

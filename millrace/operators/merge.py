@@ -74,16 +74,27 @@ def conform_delta(target: DataFrame, delta: DataFrame, keys: list[str]) -> tuple
     return delta.select(*cols), shared
 
 
-def _key_cond(d: DataFrame, t: DataFrame, keys: list[str]) -> Column:
+_T = "__t__"  # prefix of target columns inside a merge
+
+
+def _key_cond(keys: list[str]) -> Column:
     cond = None
     for k in keys:
-        c = d[_D + k] == t[k]
+        c = F.col(_D + k) == F.col(_T + k)
         cond = c if cond is None else cond & c
     return cond
 
 
+def _prefixed(target: DataFrame) -> DataFrame:
+    """Target columns renamed, so merge expressions refer to names only (the
+    delta is often derived from the target's own scan)."""
+    return target.select(*[F.col(f"`{c}`").alias(_T + c) for c in target.columns])
+
+
 def _unmatched_target(target: DataFrame, d: DataFrame, keys: list[str]) -> DataFrame:
-    return target.join(d.select(*[_D + k for k in keys]), _key_cond(d, target, keys), "left_anti")
+    t = _prefixed(target)
+    rows = t.join(d.select(*[_D + k for k in keys]), _key_cond(keys), "left_anti")
+    return rows.select(*[F.col(_T + c).alias(c) for c in target.columns])
 
 
 def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
@@ -125,17 +136,17 @@ def upsert_replace(target: DataFrame, delta: DataFrame, keys: str | Sequence[str
 
 
 def _merge(target: DataFrame, d: DataFrame, keys: list[str], shared: list[str], rule: str) -> DataFrame:
-    matched = d.join(target, _key_cond(d, target, keys), "left")
+    matched = d.join(_prefixed(target), _key_cond(keys), "left")
     cols = []
     for c in target.columns:
         if c in keys:
             cols.append(F.col(_D + c).alias(c))
         elif c in shared and rule == "coalesce":
-            cols.append(F.coalesce(F.col(_D + c), target[c]).alias(c))
+            cols.append(F.coalesce(F.col(_D + c), F.col(_T + c)).alias(c))
         elif c in shared:
             cols.append(F.col(_D + c).alias(c))
         else:
-            cols.append(target[c].alias(c))
+            cols.append(F.col(_T + c).alias(c))
     return matched.select(*cols).unionByName(_unmatched_target(target, d, keys))
 
 

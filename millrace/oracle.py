@@ -72,14 +72,14 @@ def _merged(col: str) -> str:
 
 _DOC = "'doc_' || CAST(doc_id AS VARCHAR) || '.txt'"
 _NORM = ("list_filter(list_transform(string_split(text, chr(10)), "
-         "l -> regexp_replace(l, '[ \\t\\n\\x0B\\f\\r]', '', 'g')), l -> l <> '')")
+         "lambda l: regexp_replace(l, '[ \\t\\n\\x0B\\f\\r]', '', 'g')), lambda l: l <> '')")
 
 ORACLE_SQL: dict[str, str] = {
     "daily_etl": _ETL_SELECT + f"  AND CAST(l.l_shipdate AS DATE) = {_MAX_SHIP}",
     "daily_backfill": _ETL_SELECT + f"  AND CAST(l.l_shipdate AS DATE) BETWEEN {_MAX_SHIP} - 29 AND {_MAX_SHIP}",
     "latest_date": "SELECT coalesce(max(CAST(o_orderdate AS DATE)), DATE '2024-01-01') AS latest_date FROM orders",
     "pending_days": """
-SELECT CAST(m - 9 + i AS DATE) AS day
+SELECT m - 9 + CAST(i AS INTEGER) AS day
 FROM (SELECT max(CAST(ts AS DATE)) AS m FROM events) s, range(1, 10) t(i)
 """,
     "overwrite_partition": _ORDERS_BY_MONTH + """
