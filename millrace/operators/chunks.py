@@ -3,10 +3,11 @@
 A global ``row_number()`` with no partition moves every row into one task.
 Instead the rows are range-partitioned on the order, sorted inside each
 partition, numbered locally, and shifted by the row counts of the partitions
-before them (a table with one row per partition, broadcast back). The
-numbered frame is checkpointed into the shared folder first, so the counts
-and the numbers come from the same materialised rows, and lineage is cut
-(an executor lost later does not replay the range sort).
+before them (a table with one row per partition, broadcast back). The counts
+and the numbers read the same range exchange (Spark reuses it), and with a
+total order (a row-hash tie-break) a recomputed partition after a lost
+executor gets the same numbers. ``checkpoint=True`` additionally cuts the
+lineage into the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def _order_cols(order_by: str | Column | Sequence[str | Column]) -> list[Column]
 
 def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
                    num_partitions: int | None = None, tie_break: bool = True,
-                   checkpoint: bool = True) -> DataFrame:
+                   checkpoint: bool = False) -> DataFrame:
     """Add ``index_col`` = 1..N following ``order_by`` (ascending).
 
     ``tie_break`` appends ``xxhash64`` of the whole row to the order, so rows
@@ -65,6 +66,29 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
                            index.alias(index_col), F.col("__total"))
 
 
+def with_split_order_index(df: DataFrame, split_cols, position_col: str, index_col: str = "row_index",
+                           *, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Number rows 1..N in storage order without moving them.
+
+    ``split_cols`` identify the input split a row was read from (e.g. file path
+    and split start) and sort the splits in storage order; ``position_col`` is a
+    ``monotonically_increasing_id()`` taken at the scan, so it grows inside a
+    split. Each split's offset is the row count of the splits before it; only
+    the per-split table (one row per input split) travels, broadcast when its
+    row count is proven small, else joined by shuffle."""
+    from ..plans.joins import broadcast_if_small
+
+    split_cols = [split_cols] if isinstance(split_cols, str) else list(split_cols)
+    per_split = df.groupBy(*split_cols).agg(F.count(F.lit(1)).alias("__n"),
+                                            F.min(position_col).alias("__first"))
+    before = Window.orderBy(*split_cols).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_split.select(*split_cols, "__first",
+                               F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    numbered = df.join(broadcast_if_small(offsets, broadcast_rows, cache=True), split_cols)
+    index = F.col(position_col) - F.col("__first") + F.col("__offset") + 1
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], index.alias(index_col))
+
+
 def check_count(n, name: str = "count", default_if_nonpositive: int | None = None) -> int:
     """Validate a positive integer argument (``bool`` and text are rejected)."""
     if isinstance(n, bool) or not isinstance(n, int):

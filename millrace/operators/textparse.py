@@ -2,9 +2,10 @@
 column lists, and the two composed.
 
 The pipe record walk is position dependent (a key decides how many tokens it
-consumes), so it is written as one native higher-order expression
-(``aggregate`` over the token positions) -- no Python UDF, evaluated inside
-whole-stage code generation on every executor, one line at a time.
+consumes). It is a left-to-right tokenisation, so it is one native regular
+expression applied with ``regexp_extract_all`` (a ``\\G``-anchored step
+pattern); each target column is then found with ``array_position`` on the
+step keys. Everything stays in generated code: no Python UDF, no lambda.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .chunks import with_row_index
+from .chunks import with_row_index, with_split_order_index
 
 # fixed values of the record format
 ID_KEY = "ID"
@@ -23,53 +24,45 @@ NAME_KEY = "PROCESS_NAME"
 VALUE_KEY_PREFIX = "DS"
 FIXED_COLUMNS = (ID_KEY, NAME_KEY)
 
-_KV = "array<struct<k:string,v:string>>"
 _LAYOUT_SCHEMA = "field array<struct<name:array<string>>>, _corrupt_record string"
 
 
-def pipe_entries(line: Column) -> Column:
-    """``array<struct<k, v>>`` of the key/value pairs of one pipe record.
+# One walk step as a regular expression, matched repeatedly from the left with
+# \G (each match starts where the previous one ended): the key ID with its
+# value, PROCESS_NAME with its value, a DS* key with up to two more tokens, or
+# any other single token. The line gets a leading '|' so every step is a
+# non-empty match starting at a separator.
+_STEP = (r"\G\|(" + ID_KEY + r"(?=\||\z)(?:\|[^|]*)?"
+         r"|" + NAME_KEY + r"(?=\||\z)(?:\|[^|]*)?"
+         r"|" + VALUE_KEY_PREFIX + r"[^|]*(?:\|[^|]*){0,2}"
+         r"|[^|]*)")
 
-    Walk, left to right: ``ID`` skips itself and its value; ``PROCESS_NAME``
-    takes the next token; a ``DS*`` key takes ``value-extra`` (or the value
-    alone at the end of the line, or nothing) and skips three tokens; any other
-    token skips one.
-    """
-    parts = F.split(line, r"\|", -1)
-    n = F.size(parts)
-
-    def tok(i: Column) -> Column:
-        return F.get(parts, i)
 
-    def one(k: Column, v: Column) -> Column:
-        return F.array(F.struct(k.alias("k"), v.alias("v")))
+def pipe_steps(line: Column) -> Column:
+    """``array<string>`` of the walk's steps, each ``key[|token[|token]]``.
 
-    def step(acc: Column, i: Column) -> Column:
-        kv = acc["kv"]
-        t = tok(i)
-        name_kv = F.when(i + 1 < n, F.concat(kv, one(F.lit(NAME_KEY), tok(i + 1)))).otherwise(kv)
-        ds_kv = (F.when(i + 2 < n, F.concat(kv, one(t, F.concat(tok(i + 1), F.lit("-"), tok(i + 2)))))
-                 .when(i + 1 < n, F.concat(kv, one(t, tok(i + 1))))
-                 .otherwise(kv))
-
-        def state(nxt: Column, new_kv: Column) -> Column:
-            return F.struct(nxt.alias("nxt"), new_kv.alias("kv"))
+    Walk, left to right: ``ID`` skips itself and its value; ``PROCESS_NAME``
+    takes the next token; a ``DS*`` key takes the next two tokens (fewer at the
+    end of the line); any other token is one step on its own. The walk is a
+    tokenisation, so one regular expression does it.
+    """
+    return F.regexp_extract_all(F.concat(F.lit("|"), line), F.lit(_STEP), 1)
 
-        return (F.when(i != acc["nxt"], acc)
-                .when(t == ID_KEY, state(i + 2, kv))
-                .when(t == NAME_KEY, state(i + 2, name_kv))
-                .when(t.startswith(VALUE_KEY_PREFIX), state(i + 3, ds_kv))
-                .otherwise(state(i + 1, kv)))
 
-    start = F.struct(F.lit(0).alias("nxt"), F.array().cast(_KV).alias("kv"))
-    walked = F.aggregate(F.sequence(F.lit(0), n - 1), start, step)
-    return walked["kv"]
+def step_keys(steps: Column) -> Column:
+    """The key (first token) of every step, aligned with ``steps``."""
+    return F.regexp_extract_all(F.array_join(steps, "\n"), F.lit(r"(?md)^([^|\n]*)"), 1)
 
 
-def entry_value(entries: Column, key: str) -> Column:
-    """Value of the last entry named ``key`` (a repeated key keeps the last), or null."""
-    matches = F.filter(entries, lambda e: e["k"] == F.lit(key))
-    return F.try_element_at(matches, F.lit(-1))["v"]
+def step_value(steps: Column, rev_keys: Column, key: str) -> Column:
+    """Value of the last step whose key is ``key`` (a repeated key keeps the
+    last): ``value-extra``, or the value alone, or null when the key is absent
+    or has no value. ``rev_keys`` is ``reverse(step_keys(steps))``."""
+    from_end = F.array_position(rev_keys, F.lit(key))
+    step = F.when(from_end > 0, F.element_at(steps, (F.size(steps) - from_end + 1).cast("int")))
+    # the step is "key", "key|value" or "key|value|extra"; the key length is known
+    rest = F.substring(step, len(key) + 2, 1 << 30)
+    return F.when(F.length(step) > len(key), F.translate(rest, "|", "-"))
 
 
 def parse_pipe_records(lines: DataFrame, line_col: str, target_columns: Sequence[str], *,
@@ -78,18 +71,27 @@ def parse_pipe_records(lines: DataFrame, line_col: str, target_columns: Sequence
     missing keys as null, keys outside the list dropped. ``id_col`` (when it is
     a target) is a fresh 1..N number in ``order_by`` order, replacing the
     record's own ID."""
-    entries = lines.select("*", pipe_entries(F.col(line_col)).alias("__kv"))
     if id_col in target_columns:
         if order_by is None:
             raise ValueError("order_by is required to number the records")
-        entries = with_row_index(entries, order_by, "__id").drop("__total")
+        if order_by == FILE_ORDER:
+            lines = with_split_order_index(lines, ["__file", "__block"], "__pos", "__id")
+        else:
+            lines = with_row_index(lines, order_by, "__id").drop("__total")
+    # parsed after numbering: the walk runs once per line, on the numbered rows
+    keep = ["__id"] if id_col in target_columns else []
+    walked = lines.select(*keep, pipe_steps(F.col(line_col)).alias("__steps"))
+    walked = walked.select(*keep, "__steps", F.reverse(step_keys(F.col("__steps"))).alias("__rkeys"))
     cols = []
     for name in target_columns:
         if name == id_col:
             cols.append(F.col("__id").alias(name))
         else:
-            cols.append(entry_value(F.col("__kv"), name).alias(name))
-    return entries.select(*cols)
+            cols.append(step_value(F.col("__steps"), F.col("__rkeys"), name).alias(name))
+    return walked.select(*cols)
+
+
+FILE_ORDER = "file order"  # order_by value: number lines as read by read_lines
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -104,12 +106,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                       F.monotonically_increasing_id().alias("__pos"))
 
 
-LINE_ORDER = ("__file", "__block", "__pos")
-
-
 def read_pipe_records(spark: SparkSession, path: str, target_columns: Sequence[str]) -> DataFrame:
-    """Pipe-delimited text files, one record per line, numbered in file order."""
-    return parse_pipe_records(read_lines(spark, path), "line", target_columns, order_by=list(LINE_ORDER))
+    """Pipe-delimited text files, one record per line, numbered in file order
+    (files by path, lines in the order they are stored) without a shuffle."""
+    return parse_pipe_records(read_lines(spark, path), "line", target_columns, order_by=FILE_ORDER)
 
 
 def layout_columns(xml: Column, *, fixed: Sequence[str] = FIXED_COLUMNS,

@@ -20,6 +20,12 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven small."""
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
+                       cache: bool = False) -> DataFrame:
+    """Mark ``df`` for broadcast only when its row count is proven small.
+
+    ``cache`` keeps a derived side (an aggregate) from being computed twice:
+    once for the check and once for the join."""
+    if cache:
+        df = df.cache()
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
