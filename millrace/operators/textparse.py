@@ -32,10 +32,15 @@ _LAYOUT_SCHEMA = "field array<struct<name:array<string>>>, _corrupt_record strin
 # value, PROCESS_NAME with its value, a DS* key with up to two more tokens, or
 # any other single token. The line gets a leading '|' so every step is a
 # non-empty match starting at a separator.
-_STEP = (r"\G\|(" + ID_KEY + r"(?=\||\z)(?:\|[^|]*)?"
-         r"|" + NAME_KEY + r"(?=\||\z)(?:\|[^|]*)?"
-         r"|" + VALUE_KEY_PREFIX + r"[^|]*(?:\|[^|]*){0,2}"
-         r"|[^|]*)")
+_STEP_BODY = (ID_KEY + r"(?=\||\z)(?:\|[^|]*)?"
+              r"|" + NAME_KEY + r"(?=\||\z)(?:\|[^|]*)?"
+              r"|" + VALUE_KEY_PREFIX + r"[^|]*(?:\|[^|]*){0,2}"
+              r"|[^|]*")
+_STEP = r"\G\|(" + _STEP_BODY + ")"
+# the same steps, capturing only the key token of a step that has a value (a
+# lookahead reads it without consuming; a key with no value assigns nothing,
+# so it must not hide an earlier value): aligned with the steps by construction
+_STEP_KEY = r"\G\|(?:(?=([^|]*)\|))?(?:" + _STEP_BODY + ")"
 
 
 def pipe_steps(line: Column) -> Column:
@@ -49,15 +54,16 @@ def pipe_steps(line: Column) -> Column:
     return F.regexp_extract_all(F.concat(F.lit("|"), line), F.lit(_STEP), 1)
 
 
-def step_keys(steps: Column) -> Column:
-    """The key (first token) of every step, aligned with ``steps``."""
-    return F.regexp_extract_all(F.array_join(steps, "\n"), F.lit(r"(?md)^([^|\n]*)"), 1)
+def step_keys(line: Column) -> Column:
+    """The key (first token) of every step of ``line`` that carries a value
+    (null for the others), aligned with :func:`pipe_steps`."""
+    return F.regexp_extract_all(F.concat(F.lit("|"), line), F.lit(_STEP_KEY), 1)
 
 
 def step_value(steps: Column, rev_keys: Column, key: str) -> Column:
-    """Value of the last step whose key is ``key`` (a repeated key keeps the
-    last): ``value-extra``, or the value alone, or null when the key is absent
-    or has no value. ``rev_keys`` is ``reverse(step_keys(steps))``."""
+    """Value of the last step with a value whose key is ``key`` (a repeated
+    key keeps the last value): ``value-extra``, the value alone, or null when
+    the key never has a value. ``rev_keys`` is ``reverse(step_keys(line))``."""
     from_end = F.array_position(rev_keys, F.lit(key))
     step = F.when(from_end > 0, F.element_at(steps, (F.size(steps) - from_end + 1).cast("int")))
     # the step is "key", "key|value" or "key|value|extra"; the key length is known
@@ -80,8 +86,8 @@ def parse_pipe_records(lines: DataFrame, line_col: str, target_columns: Sequence
             lines = with_row_index(lines, order_by, "__id").drop("__total")
     # parsed after numbering: the walk runs once per line, on the numbered rows
     keep = ["__id"] if id_col in target_columns else []
-    walked = lines.select(*keep, pipe_steps(F.col(line_col)).alias("__steps"))
-    walked = walked.select(*keep, "__steps", F.reverse(step_keys(F.col("__steps"))).alias("__rkeys"))
+    walked = lines.select(*keep, pipe_steps(F.col(line_col)).alias("__steps"),
+                          F.reverse(step_keys(F.col(line_col))).alias("__rkeys"))
     cols = []
     for name in target_columns:
         if name == id_col:
