@@ -421,7 +421,7 @@ def q_scalar_formats(spark, sf_dir):
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("order_day_compact"),
         F.date_add(F.to_date("o_orderdate"), 1).alias("next_day"),
-        utc_stamp(F.col("o_orderdate").cast("timestamp")).alias("stamp_utc"),
+        utc_stamp("o_orderdate", wall_clock=True).alias("stamp_utc"),
         serial(F.month("o_orderdate")).alias("month_serial"),
         serial(F.col("o_orderkey") % 1000).alias("key_serial"),
         F.ceil(F.col("o_totalprice") / 1000).alias("price_bucket"),

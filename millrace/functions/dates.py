@@ -55,9 +55,15 @@ def iso_date(c: str | Column) -> Column:
     return F.date_format(col_of(c), "yyyy-MM-dd")
 
 
-def utc_stamp(c: str | Column) -> Column:
-    """``YYYY-MM-DD HH:mm:ss +00:00`` text; the session zone must be UTC."""
-    return F.date_format(col_of(c), "yyyy-MM-dd HH:mm:ss xxx")
+def utc_stamp(c: str | Column, *, wall_clock: bool = False) -> Column:
+    """``YYYY-MM-DD HH:mm:ss +00:00`` text of an instant, in UTC whatever the
+    session time zone. ``wall_clock=True`` takes a timestamp without time zone
+    as a UTC wall-clock time."""
+    c = col_of(c)
+    if not wall_clock:
+        # instant -> session wall clock -> UTC wall clock
+        c = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+    return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit(" +00:00"))
 
 
 def days_between(first: Column, last: Column) -> Column:

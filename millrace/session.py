@@ -39,7 +39,9 @@ def get_session(master: str | None = None, app_name: str = "millrace", **conf: s
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    context = _context(spark)
+    if context is not None:
+        context.setLogLevel("ERROR")
     return spark
 
 
@@ -51,16 +53,25 @@ def shared_dir(spark: SparkSession) -> str:
     setting is expected to point at a shared store (HDFS, object store).
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not base and context is not None:
+        base = context.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="millrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if context is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared folder (not created yet)."""
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex[:12]}"
