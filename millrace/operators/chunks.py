@@ -45,14 +45,18 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
     if tie_break:
         order = order + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(n, *order)
     # monotonically_increasing_id = (partition << 33) + position in partition
-    local = ranged.select("*", F.spark_partition_id().alias(_PID),
-                          F.monotonically_increasing_id().alias(_LOCAL))
+    local = ranged.sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_LOCAL))
     if checkpoint:
         shared_dir(spark)
         local = local.checkpoint(eager=True)
-    counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
+        counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
+    else:
+        # same range exchange (reused), counted without the sort
+        counts = ranged.select(F.spark_partition_id().alias(_PID)) \
+            .groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()  # over <= num_partitions rows
     offsets = counts.select(

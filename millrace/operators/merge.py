@@ -14,14 +14,21 @@ The three rules differ on purpose and are not interchangeable:
 
 Null keys never match, so a null-key row of either side survives unchanged.
 
-Plan shape. A full outer join cannot be split by AQE when a key is skewed, so
-each merge is written as ``delta LEFT JOIN target`` plus ``target LEFT ANTI
-JOIN delta``. Both joins shuffle the same two inputs on the same key, so Spark
-reuses the exchanges, and AQE can split a hot delta key (left side of the left
-join) and a hot target key (left side of the anti join). ``upsert_update``
-first reduces the delta to one row per key with a partial (map-side)
-aggregation, so a key holding a third of the delta is collapsed before the
-shuffle.
+Plan shape, chosen from a proven bound on the delta's row count:
+
+* small delta (the usual daily change set): the target is streamed once
+  against the broadcast delta -- no shuffle of the target at all. New keys are
+  ``delta ANTI JOIN (target SEMI JOIN delta-keys)``; the semi join reads only
+  the target's key columns and returns at most the delta's key count.
+* large delta: ``upsert_update`` is one full outer join (its delta keys are
+  unique after a map-side ``max(struct)`` reduction, and target keys are unique
+  as a primary key), shuffling each side once. ``upsert_coalesce`` keeps
+  duplicate delta keys (fan-out), so it is ``delta LEFT JOIN target`` plus
+  ``target ANTI JOIN delta-keys``: AQE can split a delta key holding a third
+  of the rows, which a full outer join cannot.
+
+Anti and semi joins always use the delta's *distinct* keys, aggregated
+map-side first, so a hot key is one row per task before any shuffle.
 """
 
 from __future__ import annotations
@@ -31,7 +38,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import nonblank, py_strip
+from ..functions.text import py_strip
+from ..plans.joins import DEFAULT_BROADCAST_ROWS, bounded_rows
 
 _D = "__d__"  # prefix of delta columns inside a merge
 
@@ -91,12 +99,28 @@ def _prefixed(target: DataFrame) -> DataFrame:
     return target.select(*[F.col(f"`{c}`").alias(_T + c) for c in target.columns])
 
 
-def _unmatched_target(target: DataFrame, d: DataFrame, keys: list[str]) -> DataFrame:
+def _delta_keys(d: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct delta keys (duplicates collapse map-side before the shuffle)."""
+    return d.select(*[_D + k for k in keys]).distinct()
+
+
+def _unmatched_target(target: DataFrame, d: DataFrame, keys: list[str], small: bool) -> DataFrame:
     t = _prefixed(target)
-    rows = t.join(d.select(*[_D + k for k in keys]), _key_cond(keys), "left_anti")
+    dk = _delta_keys(d, keys)
+    rows = t.join(F.broadcast(dk) if small else dk, _key_cond(keys), "left_anti")
     return rows.select(*[F.col(_T + c).alias(c) for c in target.columns])
 
 
+def _bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """``(df, True)`` when ``df`` provably has at most ``max_rows`` rows; the
+    frame is cached for the check so it is not computed twice."""
+    cached = df.cache()
+    if bounded_rows(cached, max_rows):
+        return cached, True
+    cached.unpersist()
+    return df, False
+
+
 def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` value (last wins).
 
@@ -118,7 +142,8 @@ def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequ
 
 
 def upsert_replace(target: DataFrame, delta: DataFrame, keys: str | Sequence[str], *,
-                   dedupe_by: str | Sequence[str] | None = None) -> DataFrame:
+                   dedupe_by: str | Sequence[str] | None = None,
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Replace merge: ``delta ∪ (target ANTI JOIN delta ON keys)``.
 
     Delta rows are aligned to the target schema by name; a target column the
@@ -129,37 +154,60 @@ def upsert_replace(target: DataFrame, delta: DataFrame, keys: str | Sequence[str
     if dedupe_by is not None:
         delta = latest_by_key(delta, keys, dedupe_by)
     d, _ = conform_delta(target, delta, keys)
+    small = bounded_rows(_delta_keys(d, keys), broadcast_rows)
     types = {f.name: f.dataType for f in target.schema.fields}
     new_rows = d.select(*[(F.col(_D + c) if _D + c in d.columns else F.lit(None).cast(types[c])).alias(c)
                           for c in target.columns])
-    return new_rows.unionByName(_unmatched_target(target, d, keys))
+    return new_rows.unionByName(_unmatched_target(target, d, keys, small))
 
 
-def _merge(target: DataFrame, d: DataFrame, keys: list[str], shared: list[str], rule: str) -> DataFrame:
-    matched = d.join(_prefixed(target), _key_cond(keys), "left")
-    cols = []
-    for c in target.columns:
-        if c in keys:
-            cols.append(F.col(_D + c).alias(c))
-        elif c in shared and rule == "coalesce":
-            cols.append(F.coalesce(F.col(_D + c), F.col(_T + c)).alias(c))
-        elif c in shared:
-            cols.append(F.col(_D + c).alias(c))
-        else:
-            cols.append(F.col(_T + c).alias(c))
-    return matched.select(*cols).unionByName(_unmatched_target(target, d, keys))
+def _pick(c: str, keys: list[str], shared: list[str], rule: str, hit: Column) -> Column:
+    if c in keys:
+        return F.when(hit, F.col(_D + c)).otherwise(F.col(_T + c)).alias(c)
+    if c in shared and rule == "coalesce":
+        return F.coalesce(F.col(_D + c), F.col(_T + c)).alias(c)
+    if c in shared:
+        return F.when(hit, F.col(_D + c)).otherwise(F.col(_T + c)).alias(c)
+    return F.col(_T + c).alias(c)
 
 
-def upsert_coalesce(target: DataFrame, delta: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def _merge(target: DataFrame, d: DataFrame, keys: list[str], shared: list[str], rule: str,
+           broadcast_rows: int) -> DataFrame:
+    d = d.withColumn("__hit", F.lit(True))
+    hit = F.col("__hit").isNotNull()
+    t = _prefixed(target)
+    d, small = _bounded(d, broadcast_rows)
+    cols = [_pick(c, keys, shared, rule, hit) for c in target.columns]
+    if small:
+        # every target row once, merged with its (broadcast) delta rows
+        merged = t.join(F.broadcast(d), _key_cond(keys), "left").select(*cols)
+        # delta rows whose key is not in the target: match keys are <= |delta|
+        dk = _delta_keys(d, keys)
+        found = t.join(F.broadcast(dk), _key_cond(keys), "left_semi") \
+            .select(*[F.col(_T + k).alias(_D + k) for k in keys]).distinct()
+        fresh = d.join(F.broadcast(found), [_D + k for k in keys], "left_anti")
+        fresh = fresh.select(*[F.col(f"`{c}`") for c in d.columns],
+                             *[F.lit(None).cast(f.dataType).alias(_T + f.name) for f in target.schema.fields])
+        return merged.unionByName(fresh.select(*cols))
+    if rule == "update":
+        # unique keys on both sides: one full outer join, each side shuffled once
+        return d.join(t, _key_cond(keys), "full_outer").select(*cols)
+    matched = d.join(t, _key_cond(keys), "left").select(*cols)
+    return matched.unionByName(_unmatched_target(target, d, keys, False))
+
+
+def upsert_coalesce(target: DataFrame, delta: DataFrame, keys: str | Sequence[str], *,
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Coalescing merge (new non-null value wins per column)."""
     keys = _names(keys)
     _check_keys(target, delta, keys)
     d, shared = conform_delta(target, delta, keys)
-    return _merge(target, d, keys, shared, "coalesce")
+    return _merge(target, d, keys, shared, "coalesce", broadcast_rows)
 
 
 def upsert_update(target: DataFrame, delta: DataFrame, keys: str | Sequence[str], *,
-                  order_by: str | Sequence[str] | None = None) -> DataFrame:
+                  order_by: str | Sequence[str] | None = None,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Conflict-update merge: update the delta's columns, insert new keys.
 
     With ``order_by`` the delta is first reduced to its last row per key; without
@@ -170,7 +218,7 @@ def upsert_update(target: DataFrame, delta: DataFrame, keys: str | Sequence[str]
     if order_by is not None:
         delta = latest_by_key(delta, keys, order_by)
     d, shared = conform_delta(target, delta, keys)
-    return _merge(target, d, keys, shared, "update")
+    return _merge(target, d, keys, shared, "update", broadcast_rows)
 
 
 def merge_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None, *,
@@ -187,8 +235,9 @@ def merge_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None, *,
     """
     columns = [c for c in (columns or df.columns) if c != key]
     k = F.col(key).cast("string")
-    rows = df.filter(k.isNotNull() & (k != F.lit(""))).select(k.alias(key), *columns)
+    rows = df.filter(k.isNotNull() & (k != F.lit(""))) \
+        .select(k.alias(key), *[py_strip(F.col(c).cast("string")).alias(c) for c in columns])
     aggs = [F.concat_ws(sep, F.sort_array(F.collect_set(
-        F.when(nonblank(c), py_strip(F.col(c).cast("string")))))).alias(c) for c in columns]
+        F.when(F.col(c) != "", F.col(c))))).alias(c) for c in columns]
     out = rows.groupBy(key).agg(*aggs)
     return out.orderBy(key) if order_by_key else out

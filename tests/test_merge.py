@@ -122,3 +122,20 @@ def test_latest_by_key_hot_key(spark):
     out = merge.latest_by_key(df, "k", "seq")
     assert out.filter("k = 0").collect()[0]["seq"] == 29997
     assert out.count() == 20001
+
+
+def test_small_and_large_delta_plans_agree(spark):
+    t = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("name"),
+                                   F.col("id").cast("double").alias("bal"), F.lit("s").alias("seg"))
+    t = t.unionByName(spark.createDataFrame([(None, "n", 1.0, "q")], SCHEMA))
+    delta = spark.range(300, 700).select(
+        F.when(F.col("id") % 5 == 0, F.lit(400)).otherwise(F.col("id")).alias("k"),
+        F.col("id").cast("string").alias("name"),
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") * 2.0).alias("bal"),
+        F.col("id").alias("seq"))
+    delta = delta.unionByName(spark.createDataFrame([(None, "N", 2.0, 1)], "k bigint, name string, bal double, seq bigint"))
+    for rule, kw in ((merge.upsert_coalesce, {}), (merge.upsert_update, {"order_by": "seq"}),
+                     (merge.upsert_replace, {})):
+        small = rows(rule(t, delta, "k", **kw))
+        large = rows(rule(t, delta, "k", broadcast_rows=0, **kw))
+        assert small == large, rule.__name__
