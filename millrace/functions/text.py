@@ -7,9 +7,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes Unicode white space plus the ASCII separators
-# \x1c-\x1f; Java's (?U)\s covers the Unicode white space set.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters Python's str.strip() removes: every code point for which
+# str.isspace() is true (derived from the rule, not listed by hand).
+PY_SPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 # White space as `diff -w` sees it (C isspace): space, \t, \n, \v, \f, \r.
 _C_SPACE = r"[ \t\n\x0B\f\r]"
@@ -20,8 +20,9 @@ def col_of(c: str | Column) -> Column:
 
 
 def py_strip(c: str | Column) -> Column:
-    """Trim white space at both ends the way Python's ``str.strip()`` does."""
-    return F.regexp_replace(col_of(c), _EDGE_SPACE, "")
+    """Trim white space at both ends the way Python's ``str.strip()`` does
+    (``btrim`` with a character set: no regular expression per value)."""
+    return F.btrim(col_of(c), F.lit(PY_SPACE))
 
 
 def nonblank(c: str | Column) -> Column:
