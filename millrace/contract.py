@@ -170,14 +170,17 @@ def _export_input(spark, sf_dir):
 
 def q_export_chunks(spark, sf_dir):
     o, run_date = _export_input(spark, sf_dir)
-    return export.export_chunks(o, 7, scratch_path(spark, "export"), "o_orderkey", run_date)
+    out = scratch_path(spark, "export")
+    export.export_chunks(o, 7, out, "o_orderkey", run_date)
+    return export.manifest(o, out)  # verified from the files written
 
 
 def q_export_resume(spark, sf_dir):
     o, run_date = _export_input(spark, sf_dir)
     out = scratch_path(spark, "export_resume")
     export.export_chunks(o, 5, out, "o_orderkey", run_date, only_chunks=[1])  # an interrupted run
-    return export.export_chunks(o, 5, out, "o_orderkey", run_date, resume=True)
+    export.export_chunks(o, 5, out, "o_orderkey", run_date, resume=True)
+    return export.manifest(o, out)
 
 
 def q_batch_ranges(spark, sf_dir):
@@ -249,6 +252,83 @@ def q_conform(spark, sf_dir):
     return schema.conform(table(spark, sf_dir, "customer"), CONFORM_SCHEMA)
 
 
+def q_csv_ragged_rows(spark, sf_dir):
+    """Headerless CSV with empty cells, short rows and long rows."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    seg = F.col("c_mktsegment")
+    line = (F.when(seg == "AUTOMOBILE", F.concat_ws(",", key, F.col("c_name")))
+            .when(seg == "BUILDING", F.concat_ws(",", key, F.col("c_name"), seg, F.lit("extra")))
+            .when(seg == "FURNITURE", F.concat_ws(",", key, F.lit(""), seg))
+            .otherwise(F.concat_ws(",", key, F.col("c_name"), seg)))
+    path = scratch_path(spark, "ragged_csv")
+    c.select(line.alias("value")).write.text(path)
+    df = files.read_csv_text(spark, path, columns=["c_custkey", "c_name", "c_mktsegment"], header=False,
+                             keep_corrupt=True)
+    return df.select("c_custkey", "c_name", "c_mktsegment",
+                     F.col(files.CORRUPT).isNotNull().alias("is_corrupt"))
+
+
+def q_overwrite_table(spark, sf_dir):
+    """A table replaced by a query that reads the same table."""
+    path = scratch_path(spark, "customer_table")
+    table(spark, sf_dir, "customer").write.parquet(path)
+    name = unique_name("customer_tbl")
+    tables.register_external(spark, name, path)
+    updated = spark.table(name).withColumn("c_acctbal", F.col("c_acctbal") + F.lit(1.0))
+    tables.overwrite_table(spark, updated, name)
+    return spark.table(name)
+
+
+def q_copy_day(spark, sf_dir):
+    """One day's landing folder copied into the target under ingest_date."""
+    ev = table(spark, sf_dir, "events")
+    root = scratch_path(spark, "landing")
+    ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy("day").parquet(f"{root}/events")
+    day = _scalar(ev.agg(F.date_format(F.max("ts"), "yyyy-MM-dd")))
+    files.copy_day(spark, f"{root}/events/day={day}", f"{root}/copied", day)
+    return spark.read.parquet(f"{root}/copied")
+
+
+SUPPLIER_DDL = [("s_suppkey", "BIGINT"), ("s_name", "VARCHAR(25)"), ("s_nationkey", "INT"),
+                ("s_acctbal", "DOUBLE")]
+
+
+def q_ddl_table(spark, sf_dir):
+    """Database + pipe-delimited CSV table from a (name, type) list, loaded by position."""
+    db = unique_name("millrace_db")
+    name = tables.create_table(spark, "supplier_copy", SUPPLIER_DDL, database=db, replace=True,
+                               database_location=scratch_path(spark, "db"), fmt="csv", delimiter="|",
+                               location=scratch_path(spark, "supplier_pipe"), comment="supplier copy")
+    tables.load_table(table(spark, sf_dir, "supplier"), name)
+    return spark.table(name)
+
+
+def q_create_like(spark, sf_dir):
+    """An empty clone of a table's structure, then loaded."""
+    c = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer_src")
+    c.write.parquet(path)
+    src = unique_name("customer_src")
+    tables.register_external(spark, src, path)
+    clone = unique_name("customer_like")
+    tables.create_like(spark, clone, src, location=scratch_path(spark, "customer_like"))
+    tables.load_table(c.filter(F.col("c_mktsegment") == "BUILDING"), clone)
+    return spark.table(clone)
+
+
+def q_load_overwrite(spark, sf_dir):
+    """Appends then an overwrite load: the table ends with the last load only."""
+    n = table(spark, sf_dir, "nation")
+    name = tables.create_table(spark, unique_name("nation_loads"),
+                               [("n_nationkey", "INT"), ("n_name", "STRING"), ("n_regionkey", "INT")],
+                               location=scratch_path(spark, "nation_loads"))
+    tables.load_table(n, name, "append")
+    tables.load_table(n, name, "append")
+    tables.load_table(n.filter(F.col("n_regionkey") == 1), name, "overwrite")
+    return spark.table(name)
+
+
 # ---------------------------------------------------------------- pipe records and layouts
 
 PIPE_COLUMNS = ["ID", "PROCESS_NAME", "DS100", "DS200", "DS300", "DS400", "DS500"]
@@ -403,7 +483,8 @@ def q_ingest_stream(spark, sf_dir):
     intake.ingest_files(spark, f"{root}/incoming", ev.schema, state_dir=f"{root}/state",
                         archive_dir=f"{root}/archive", checkpoint_dir=f"{root}/checkpoint",
                         keys=["user_id"], order_by=["ts", "event_id"], max_files_per_trigger=3)
-    return intake.current_state(spark, f"{root}/state", ["user_id"], ["ts", "event_id"])
+    intake.compact_state(spark, f"{root}/state", f"{root}/compacted", ["user_id"], ["ts", "event_id"])
+    return spark.read.parquet(f"{root}/compacted")
 
 
 def q_scalar_formats(spark, sf_dir):
@@ -455,6 +536,12 @@ QUERIES: dict[str, Query] = {
     "row_id": q_row_id,
     "csv_text_roundtrip": q_csv_text_roundtrip,
     "csv_typed_load": q_csv_typed_load,
+    "csv_ragged_rows": q_csv_ragged_rows,
+    "overwrite_table": q_overwrite_table,
+    "copy_day": q_copy_day,
+    "ddl_table": q_ddl_table,
+    "create_like": q_create_like,
+    "load_overwrite": q_load_overwrite,
     "infer_ddl": q_infer_ddl,
     "split_rejects": q_split_rejects,
     "external_table": q_external_table,

@@ -141,6 +141,23 @@ SELECT coalesce(CAST(s_suppkey AS VARCHAR), '') AS s_suppkey, coalesce(s_name, '
 FROM supplier
 """,
     "csv_typed_load": "SELECT n_nationkey AS n_nationkey, n_name AS n_name, n_regionkey AS n_regionkey FROM nation",
+    "csv_ragged_rows": """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+       CASE WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE c_name END AS c_name,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+       c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS is_corrupt
+FROM customer
+""",
+    "overwrite_table": """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1.0 AS c_acctbal, c_mktsegment FROM customer
+""",
+    "copy_day": """
+SELECT *, CAST(ts AS DATE) AS ingest_date FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
+""",
+    "ddl_table": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "create_like": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
+    "load_overwrite": "SELECT * FROM nation WHERE n_regionkey = 1",
     "infer_ddl": """
 SELECT * FROM (VALUES (1, 'o_orderkey', 'BIGINT'), (2, 'o_custkey', 'BIGINT'), (3, 'o_orderstatus', 'STRING'),
                       (4, 'o_totalprice', 'DOUBLE'), (5, 'o_orderdate', 'STRING'),

@@ -24,17 +24,37 @@ _LOCAL_DEFAULTS = {
 }
 
 
+# Settings for a large cluster (hundreds of TB, ~1000 executors): many shuffle
+# partitions that AQE coalesces to ~256 MB each, 512 MB scan splits, skew
+# splitting on, a broadcast threshold that stays far below executor memory.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "millrace", **conf: str) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; the session
-    time zone is pinned to UTC because date/partition text must not depend on
-    the machine running the driver.
+    With a ``master`` (``local[N]``) the local defaults apply; without one the
+    cluster defaults do and spark-submit decides the rest. The session time
+    zone is pinned to UTC because date/partition text must not depend on the
+    machine running the driver. ``spark.checkpoint.dir`` should name a shared
+    folder on a cluster (see :func:`shared_dir`).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(_LOCAL_DEFAULTS)
+    settings = dict(_LOCAL_DEFAULTS if master else CLUSTER_DEFAULTS)
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)

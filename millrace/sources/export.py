@@ -42,7 +42,9 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
                   resume: bool = False, only_chunks=None, single_file: bool = False,
                   header: bool = True, default_if_nonpositive: int | None = None) -> DataFrame:
     """Write ``df`` as ``n`` ceil-sized chunks named ``YYYYMMDD-NN.csv`` under
-    ``out_dir`` and return the manifest of this run (``file_name, rows``).
+    ``out_dir`` and return the planned manifest (``file_name, rows``) of every
+    chunk, computed from the row count -- the export is not read back (use
+    :func:`manifest` to verify what is on disk).
 
     ``n <= 0`` raises unless ``default_if_nonpositive`` is given (e.g. 15).
     ``only_chunks`` writes just those chunk numbers (a retry of a few chunks)."""
@@ -61,7 +63,22 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
     # stay in export order inside every file
     out = chunked.sortWithinPartitions(FILE_COL, "__row").select(*df.columns, FILE_COL)
     out.write.mode("append").option("header", header).partitionBy(FILE_COL).csv(out_dir)
-    return manifest(df, out_dir, header=header)
+    return planned_manifest(df, n, run_date, default_if_nonpositive)
+
+
+def planned_manifest(df: DataFrame, n: int, run_date, default_if_nonpositive: int | None = None) -> DataFrame:
+    """``file_name, rows`` of every chunk from arithmetic on the row count:
+    ``ceil(N/n)`` rows per chunk, the last one shorter (one small job)."""
+    from ..operators.chunks import check_count
+
+    n = check_count(n, "number of chunks", default_if_nonpositive)
+    total = df.agg(F.count(F.lit(1)).alias("__n"))
+    size = F.ceil(F.col("__n") / F.lit(n))
+    per = total.select(F.explode(F.sequence(F.lit(1), F.ceil(F.col("__n") / size).cast("int"))).alias("c"),
+                       "__n", size.alias("__size"))
+    rows = F.least(F.col("__size"), F.col("__n") - (F.col("c") - 1) * F.col("__size"))
+    return per.filter(F.col("__n") > 0).select(
+        chunk_file_name(as_date(run_date), F.col("c")).alias(FILE_COL), rows.cast("long").alias("rows"))
 
 
 def manifest(df: DataFrame, out_dir: str, *, header: bool = True) -> DataFrame:

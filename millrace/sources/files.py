@@ -50,19 +50,25 @@ def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 
 def read_csv_text(spark: SparkSession, path: str, *, sep: str = ",",
-                  columns: Sequence[str] | None = None, empty_as_text: bool = True,
-                  multiline: bool = False, keep_corrupt: bool = False) -> DataFrame:
-    """CSV with a header row, every column as text.
+                  columns: Sequence[str] | None = None, header: bool = True,
+                  empty_as_text: bool = True, multiline: bool = False,
+                  keep_corrupt: bool = False) -> DataFrame:
+    """CSV, every column as text; column names from the header row, or
+    ``columns`` for files without one.
 
     A present-but-empty cell is ``''`` (Spark would give null) on well-formed
     rows; a short or long row is kept with nulls for its missing cells and
     flagged by ``_corrupt_record``. ``multiline`` allows quoted line breaks at
     the cost of reading each file in one task.
     """
-    columns = list(columns) if columns is not None else csv_header(spark, path, sep)
+    if columns is None:
+        if not header:
+            raise ValueError("columns are required for files without a header row")
+        columns = csv_header(spark, path, sep)
+    columns = list(columns)
     schema = StructType([StructField(c, StringType()) for c in columns] +
                         [StructField(CORRUPT, StringType())])
-    raw = (spark.read.schema(schema).option("header", True).option("sep", sep)
+    raw = (spark.read.schema(schema).option("header", header).option("sep", sep)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .option("multiLine", multiline).csv(path))
     well_formed = F.col(CORRUPT).isNull()

@@ -64,14 +64,18 @@ def build_ddl(table: str, columns: Sequence[tuple[str, str]], *, if_not_exists:
 
 
 def create_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]], *,
-                 replace: bool = False, database: str | None = None, **ddl_args) -> None:
-    """Create the database if missing, optionally drop the table, create it."""
+                 replace: bool = False, database: str | None = None,
+                 database_location: str | None = None, **ddl_args) -> str:
+    """Create the database if missing, optionally drop the table, create it.
+    Returns the qualified table name."""
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}")
+        loc = f" LOCATION {_sql_text(database_location)}" if database_location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}{loc}")
         table = f"{database}.{table}"
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {quote(table)}")
     spark.sql(build_ddl(table, columns, **ddl_args))
+    return table
 
 
 def create_like(spark: SparkSession, table: str, source: str, *, location: str | None = None,
