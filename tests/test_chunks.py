@@ -71,3 +71,14 @@ def test_row_index_with_ties_is_stable(spark):
 def test_page(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
     assert [r[0] for r in chunks.page(df, 10, 5, "k").collect()] == [10, 11, 12, 13, 14]
+
+
+def test_range_tie_break_splits_a_hot_key(spark):
+    # a third of the rows share one order value; the row-hash tie-break spreads them
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                      F.col("id").alias("v"))
+    ranged = df.repartitionByRange(6, F.col("k"), F.xxhash64("k", "v"))
+    sizes = [r[1] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.25 * 30000
+    out = chunks.with_row_index(df, "k", "i", num_partitions=6)
+    assert out.select(F.min("i"), F.max("i"), F.countDistinct("i")).first() == (1, 30000, 30000)
