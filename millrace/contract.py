@@ -482,7 +482,7 @@ def q_ingest_stream(spark, sf_dir):
     ev.repartitionByRange(10, "ts").write.parquet(f"{root}/incoming")
     intake.ingest_files(spark, f"{root}/incoming", ev.schema, state_dir=f"{root}/state",
                         archive_dir=f"{root}/archive", checkpoint_dir=f"{root}/checkpoint",
-                        keys=["user_id"], order_by=["ts", "event_id"], max_files_per_trigger=3)
+                        keys=["user_id"], order_by=["ts", "event_id"], max_files_per_trigger=5)
     intake.compact_state(spark, f"{root}/state", f"{root}/compacted", ["user_id"], ["ts", "event_id"])
     return spark.read.parquet(f"{root}/compacted")
 

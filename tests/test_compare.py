@@ -23,3 +23,15 @@ def test_presence_matrix(spark):
     left = spark.createDataFrame([("a",), ("b",), ("b",)], "file_name string")
     right = spark.createDataFrame([("b",), ("c",)], "file_name string")
     assert rows(compare.presence_matrix(left, right)) == [("a", "Y", "N"), ("b", "Y", "Y"), ("c", "N", "Y")]
+
+
+def test_whole_text_normalisation_equals_per_line(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    alphabet = ["a", "b", " ", "\t", "\n", "\r", "\x0b", "\x0c", " ", "é"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(compare.normalised_text(F.col("t")).alias("a"),
+                    F.array_join(compare.normalised_lines(F.col("t")), "\n").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
