@@ -152,11 +152,12 @@ def run_sql_steps(spark: SparkSession, script: str, *, args: Mapping[str, object
         df.createOrReplaceTempView(name)
     result = None
     for step in parse_script(script, style):
-        used = {k: v for k, v in (args or {}).items() if f":{k}" in step.sql}
+        code = _strip_comments(step.sql)
+        used = {k: v for k, v in (args or {}).items() if re.search(rf":{re.escape(k)}\b", code)}
         try:
             result = spark.sql(step.sql, args=used or None)
         except Exception as exc:  # re-raised with the label for the caller
             raise RuntimeError(f"SQL step {step.label!r} failed: {exc}") from exc
-        if _QUERY.match(_strip_comments(step.sql)) and _IDENT.match(step.label):
+        if _QUERY.match(code) and _IDENT.match(step.label):
             result.createOrReplaceTempView(step.label)
     return result

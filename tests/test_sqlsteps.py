@@ -46,3 +46,8 @@ SELECT count(*) AS n FROM nums WHERE id % 2 = 0
     assert sqlsteps.run_sql_steps(spark, script).first()["n"] == 5
     with pytest.raises(RuntimeError, match="broken"):
         sqlsteps.run_sql_steps(spark, "-- @label: broken\nSELECT FROM WHERE")
+
+
+def test_only_named_parameters_are_bound(spark):
+    script = "-- @label: s\nSELECT :ab AS x -- :a in a comment\n"
+    assert sqlsteps.run_sql_steps(spark, script, args={"a": 1, "ab": 2}).first()["x"] == 2
