@@ -8,7 +8,11 @@ more part files in order, so a chunk of any size is written by many tasks.
 
 Resume: chunks whose folder already exists are left out of the write; the
 chunk numbering is still computed over every row, so the remaining chunks
-keep their positions.
+keep their positions. Chunks are written with dynamic partition overwrite:
+writing a chunk again (``only_chunks``, or a retry) replaces it, never
+appends duplicates. A chunk folder appears only when its job commits (Spark's
+default commit protocol); on object stores use a committer with an atomic
+job commit so an interrupted commit cannot leave a partial chunk behind.
 """
 
 from __future__ import annotations
@@ -62,7 +66,8 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
     # sorted by (file, row): the writer's required order is already met, rows
     # stay in export order inside every file
     out = chunked.sortWithinPartitions(FILE_COL, "__row").select(*df.columns, FILE_COL)
-    out.write.mode("append").option("header", header).partitionBy(FILE_COL).csv(out_dir)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("header", header).partitionBy(FILE_COL).csv(out_dir))
     return planned_manifest(df, n, run_date, default_if_nonpositive)
 
 

@@ -26,3 +26,11 @@ def test_export_single_file_and_default_count(spark, tmp_path):
     assert len(rows(m)) == 14  # ceil(40/15)=3 rows per chunk -> 14 chunks
     import glob
     assert all(len(glob.glob(d + "/*.csv")) == 1 for d in glob.glob(out + "/file_name=*"))
+
+
+def test_rewriting_a_chunk_replaces_it(spark, tmp_path):
+    df = spark.range(1, 11).withColumnRenamed("id", "k")
+    out = str(tmp_path / "again")
+    export.export_chunks(df, 2, out, "k", "2024-01-01")
+    export.export_chunks(df, 2, out, "k", "2024-01-01", only_chunks=[1])
+    assert rows(export.manifest(df, out)) == [("20240101-01.csv", 5), ("20240101-02.csv", 5)]
