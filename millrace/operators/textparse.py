@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -72,12 +72,13 @@ def step_value(steps: Column, rev_keys: Column, key: str) -> Column:
 
 
 def parse_pipe_records(lines: DataFrame, line_col: str, target_columns: Sequence[str], *,
-                       order_by=None, id_col: str = ID_KEY) -> DataFrame:
+                       order_by=None, id_col: str = ID_KEY, numbered: bool = False) -> DataFrame:
     """Pipe records to a wide frame with exactly ``target_columns`` (text),
     missing keys as null, keys outside the list dropped. ``id_col`` (when it is
     a target) is a fresh 1..N number in ``order_by`` order, replacing the
-    record's own ID."""
-    if id_col in target_columns:
+    record's own ID. ``numbered=True`` means ``lines`` already carries the
+    number in ``__id``."""
+    if id_col in target_columns and not numbered:
         if order_by is None:
             raise ValueError("order_by is required to number the records")
         if order_by == FILE_ORDER:
@@ -112,10 +113,57 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                       F.monotonically_increasing_id().alias("__pos"))
 
 
-def read_pipe_records(spark: SparkSession, path: str, target_columns: Sequence[str]) -> DataFrame:
+def strip_file_edges(numbered: DataFrame, index_col: str, *, line_col: str = "line",
+                     file_col: str = "__file") -> DataFrame:
+    """Apply ``text.strip()`` to every file: blank lines before the first and
+    after the last non-blank line are dropped, the first kept line loses its
+    leading white space and the last its trailing white space, and the lines
+    are renumbered 1..N over the kept lines (a file with no text keeps one
+    empty line, as ``''.split('\\n')`` does). Only a one-row-per-file table is
+    aggregated and joined back; the lines are not shuffled."""
+    from ..functions.text import PY_SPACE
+    from ..plans.joins import broadcast_if_small
+
+    text = F.btrim(F.col(line_col), F.lit(PY_SPACE)) != ""
+    idx = F.col(index_col)
+    per_file = numbered.groupBy(file_col).agg(
+        F.min(F.when(text, idx)).alias("__first_text"), F.max(F.when(text, idx)).alias("__last_text"),
+        F.min(idx).alias("__first_line"))
+    # an all-blank file keeps its first line (emptied)
+    per_file = per_file.select(
+        file_col,
+        F.coalesce("__first_text", "__first_line").alias("__keep_from"),
+        F.coalesce("__last_text", "__first_line").alias("__keep_to"))
+    before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
+    per_file = per_file.withColumn(
+        "__kept_before",
+        F.coalesce(F.sum(F.col("__keep_to") - F.col("__keep_from") + 1).over(before), F.lit(0)))
+    joined = numbered.join(broadcast_if_small(per_file, cache=True), file_col)
+    kept = joined.filter(idx.between(F.col("__keep_from"), F.col("__keep_to")))
+    first, last = idx == F.col("__keep_from"), idx == F.col("__keep_to")
+    line = F.col(line_col)
+    line = F.when(first & last, F.btrim(line, F.lit(PY_SPACE))) \
+        .when(first, F.ltrim(line, F.lit(PY_SPACE))) \
+        .when(last, F.rtrim(line, F.lit(PY_SPACE))).otherwise(line)
+    renumbered = idx - F.col("__keep_from") + F.col("__kept_before") + 1
+    others = [c for c in numbered.columns if c not in (line_col, index_col)]
+    return kept.select(*others, line.alias(line_col), renumbered.alias(index_col))
+
+
+def read_pipe_records(spark: SparkSession, path: str, target_columns: Sequence[str], *,
+                      strip_edges: bool = True, id_col: str = ID_KEY) -> DataFrame:
     """Pipe-delimited text files, one record per line, numbered in file order
-    (files by path, lines in the order they are stored) without a shuffle."""
-    return parse_pipe_records(read_lines(spark, path), "line", target_columns, order_by=FILE_ORDER)
+    (files by path, lines in the order they are stored) without a shuffle.
+
+    ``strip_edges`` treats each file like ``text.strip().split('\\n')``:
+    leading/trailing blank lines are not records."""
+    lines = read_lines(spark, path)
+    if not strip_edges:
+        return parse_pipe_records(lines, "line", target_columns, order_by=FILE_ORDER, id_col=id_col)
+    numbered = with_split_order_index(lines, ["__file", "__block"], "__pos", "__id")
+    records = strip_file_edges(numbered, "__id")
+    return parse_pipe_records(records, "line", target_columns, order_by=None, id_col=id_col,
+                              numbered=True)
 
 
 def layout_columns(xml: Column, *, fixed: Sequence[str] = FIXED_COLUMNS,
