@@ -6,6 +6,7 @@ lists files in parallel and never opens them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +19,43 @@ CORRUPT = "_corrupt_record"
 WRITE_FORMATS = ("parquet", "csv")
 
 
+def _norm_uri(c):
+    """One spelling for local URIs (``file:/x`` and ``file:///x``)."""
+    return F.regexp_replace(c, r"^file:/+", "file:///")
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None,
                recursive: bool = True) -> DataFrame:
     """One row per file under ``path``: ``path, file_name, length,
     modification_time``. ``glob`` filters base names (case-sensitive, so
-    ``*.csv`` skips ``x.csv.done``). A missing folder is an error."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    ``*.csv`` skips ``x.csv.done``). A missing folder is an error.
+
+    Spark's file scans skip zero-byte files, so the rows come from the file
+    index (the listing the driver holds for any scan, empty files included)
+    and the sizes and times from the ``binaryFile`` metadata, which never
+    opens the files. ``recursive=False`` keeps only files directly in ``path``.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
-    return files.select("path", base_name("path").alias("file_name"), "length",
+    listing = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    listing = listing.select(_norm_uri(F.col("path")).alias("path"))
+    listing = listing.withColumn("relative_path", relative_to(F.col("path"), path))
+    if not recursive:
+        listing = listing.filter(~F.col("relative_path").contains("/"))
+    meta = files.select(_norm_uri(F.col("path")).alias("path"), "length",
                         F.col("modificationTime").alias("modification_time"))
+    return listing.join(meta, "path", "left").select(
+        "path", "relative_path", base_name("path").alias("file_name"),
+        F.coalesce("length", F.lit(0)).alias("length"), "modification_time")
+
+
+def relative_to(path: "F.Column", root: str):
+    """The part of a listed file path below ``root`` (as given by the user:
+    absolute, relative, or a URI)."""
+    core = re.sub(r"^file:/*", "/", root.rstrip("/")) if root.startswith("file:") else root.rstrip("/")
+    return F.regexp_extract(path, re.escape(core) + "/(.+)$", 1)
 
 
 def count_files(spark: SparkSession, path: str, ext: str | None = None) -> DataFrame:

@@ -22,9 +22,9 @@ def test_csv_text_empty_short_long(spark, tmp_path):
 
 def test_list_and_count_files_brute_force(spark, tmp_path):
     root = tmp_path / "tree"
-    for rel in ["a.csv", "b.CSV", "x.csv.done", "sub/c.csv", "sub/deep/d.txt", "sub/e", "f.Txt"]:
+    for rel in ["a.csv", "b.CSV", "x.csv.done", "sub/c.csv", "sub/deep/d.txt", "sub/e", "f.Txt", "sub/empty.csv"]:
         os.makedirs(root / os.path.dirname(rel), exist_ok=True)
-        (root / rel).write_text("x")
+        (root / rel).write_text("" if "empty" in rel else "x")
     counts = dict(rows(files.count_files(spark, str(root))))
     brute = {}
     for d, _, fs in os.walk(root):
@@ -32,9 +32,11 @@ def test_list_and_count_files_brute_force(spark, tmp_path):
             ext = f.rsplit(".", 1)[1].lower() if "." in f else ""
             brute[ext] = brute.get(ext, 0) + 1
     assert counts == brute
-    assert rows(files.count_files(spark, str(root), "csv")) == [("csv", 3)]
+    assert rows(files.count_files(spark, str(root), "csv")) == [("csv", 4)]
     listed = sorted(r["file_name"] for r in files.list_files(spark, str(root), glob="*.csv").collect())
-    assert listed == ["a.csv", "c.csv"]
+    assert listed == ["a.csv", "c.csv", "empty.csv"]
+    top = sorted(r["relative_path"] for r in files.list_files(spark, str(root), recursive=False).collect())
+    assert top == ["a.csv", "b.CSV", "f.Txt", "x.csv.done"]
     with pytest.raises(Exception):
         files.list_files(spark, str(tmp_path / "missing")).collect()
 
