@@ -172,7 +172,9 @@ def layout_columns(xml: Column, *, fixed: Sequence[str] = FIXED_COLUMNS,
     of each direct ``field`` child of the root, in document order; nameless or
     empty names and ``exclude`` are skipped. Malformed XML gives ``fixed``
     (``malformed_fixed``) or an empty list."""
-    parsed = F.from_xml(xml, _LAYOUT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    # names keep their surrounding white space, as an XML text node does
+    parsed = F.from_xml(xml, _LAYOUT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record",
+                                              "ignoreSurroundingSpaces": "false"})
     firsts = F.transform(F.coalesce(parsed["field"], F.array().cast("array<struct<name:array<string>>>")),
                          lambda f: F.try_element_at(f["name"], F.lit(1)))
     skip = F.array(*[F.lit(x) for x in exclude]).cast("array<string>")
