@@ -113,32 +113,46 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                       F.monotonically_increasing_id().alias("__pos"))
 
 
-def strip_file_edges(numbered: DataFrame, index_col: str, *, line_col: str = "line",
-                     file_col: str = "__file") -> DataFrame:
-    """Apply ``text.strip()`` to every file: blank lines before the first and
-    after the last non-blank line are dropped, the first kept line loses its
-    leading white space and the last its trailing white space, and the lines
-    are renumbered 1..N over the kept lines (a file with no text keeps one
-    empty line, as ``''.split('\\n')`` does). Only a one-row-per-file table is
-    aggregated and joined back; the lines are not shuffled."""
+def number_stripped_lines(lines: DataFrame, index_col: str = "__id", *, line_col: str = "line") -> DataFrame:
+    """Number the lines of :func:`read_lines` 1..N in file order after applying
+    ``text.strip()`` to every file: blank lines before the first and after the
+    last non-blank line are dropped, the first kept line loses its leading
+    white space and the last its trailing white space (a file with no text
+    keeps one empty line, as ``''.split('\\n')`` does).
+
+    One aggregation over ``(file, split)`` yields everything: per split its
+    row count, first position and first/last non-blank position; the offsets
+    and per-file edges are then computed on that table (one row per split)
+    and broadcast back. The lines themselves are never shuffled."""
     from ..functions.text import PY_SPACE
     from ..plans.joins import broadcast_if_small
 
+    split = ["__file", "__block"]
     text = F.btrim(F.col(line_col), F.lit(PY_SPACE)) != ""
-    idx = F.col(index_col)
-    per_file = numbered.groupBy(file_col).agg(
-        F.min(F.when(text, idx)).alias("__first_text"), F.max(F.when(text, idx)).alias("__last_text"),
-        F.min(idx).alias("__first_line"))
-    # an all-blank file keeps its first line (emptied)
-    per_file = per_file.select(
-        file_col,
-        F.coalesce("__first_text", "__first_line").alias("__keep_from"),
-        F.coalesce("__last_text", "__first_line").alias("__keep_to"))
-    before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
-    per_file = per_file.withColumn(
-        "__kept_before",
-        F.coalesce(F.sum(F.col("__keep_to") - F.col("__keep_from") + 1).over(before), F.lit(0)))
-    joined = numbered.join(broadcast_if_small(per_file, cache=True), file_col)
+    pos = F.col("__pos")
+    per_split = lines.groupBy(*split).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__p0"),
+        F.min(F.when(text, pos)).alias("__t0"), F.max(F.when(text, pos)).alias("__t1"))
+    in_order = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    per_split = per_split.withColumn("__off", F.coalesce(F.sum("__n").over(in_order), F.lit(0)))
+
+    def glob(p: Column) -> Column:  # global 1-based index of a position of this split
+        return p - F.col("__p0") + F.col("__off") + 1
+
+    file_w = Window.partitionBy("__file")
+    per_split = per_split.select(
+        *split, "__p0", "__off",
+        F.coalesce(F.min(glob(F.col("__t0"))).over(file_w),
+                   F.min(glob(F.col("__p0"))).over(file_w)).alias("__keep_from"),
+        F.coalesce(F.max(glob(F.col("__t1"))).over(file_w),
+                   F.min(glob(F.col("__p0"))).over(file_w)).alias("__keep_to"))
+    per_file = per_split.select("__file", "__keep_from", "__keep_to").distinct()
+    files_before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    per_file = per_file.select("__file", F.coalesce(F.sum(
+        F.col("__keep_to") - F.col("__keep_from") + 1).over(files_before), F.lit(0)).alias("__kept_before"))
+    info = per_split.join(per_file, "__file")
+    joined = lines.join(broadcast_if_small(info, cache=True), split)
+    idx = pos - F.col("__p0") + F.col("__off") + 1
     kept = joined.filter(idx.between(F.col("__keep_from"), F.col("__keep_to")))
     first, last = idx == F.col("__keep_from"), idx == F.col("__keep_to")
     line = F.col(line_col)
@@ -146,7 +160,7 @@ def strip_file_edges(numbered: DataFrame, index_col: str, *, line_col: str = "li
         .when(first, F.ltrim(line, F.lit(PY_SPACE))) \
         .when(last, F.rtrim(line, F.lit(PY_SPACE))).otherwise(line)
     renumbered = idx - F.col("__keep_from") + F.col("__kept_before") + 1
-    others = [c for c in numbered.columns if c not in (line_col, index_col)]
+    others = [c for c in lines.columns if c != line_col]
     return kept.select(*others, line.alias(line_col), renumbered.alias(index_col))
 
 
@@ -160,8 +174,7 @@ def read_pipe_records(spark: SparkSession, path: str, target_columns: Sequence[s
     lines = read_lines(spark, path)
     if not strip_edges:
         return parse_pipe_records(lines, "line", target_columns, order_by=FILE_ORDER, id_col=id_col)
-    numbered = with_split_order_index(lines, ["__file", "__block"], "__pos", "__id")
-    records = strip_file_edges(numbered, "__id")
+    records = number_stripped_lines(lines, "__id")
     return parse_pipe_records(records, "line", target_columns, order_by=None, id_col=id_col,
                               numbered=True)
 
