@@ -176,10 +176,11 @@ def q_export_chunks(spark, sf_dir):
 
 
 def q_export_resume(spark, sf_dir):
-    o, run_date = _export_input(spark, sf_dir)
+    o = table(spark, sf_dir, "orders")
     out = scratch_path(spark, "export_resume")
-    export.export_chunks(o, 5, out, "o_orderkey", run_date, only_chunks=[1])  # an interrupted run
-    export.export_chunks(o, 5, out, "o_orderkey", run_date, resume=True)
+    # the resumable flavour names chunks part_N.csv; an interrupted run wrote chunk 1
+    export.export_chunks(o, 5, out, "o_orderkey", naming="part", only_chunks=[1])
+    export.export_chunks(o, 5, out, "o_orderkey", naming="part", resume=True)
     return export.manifest(o, out)
 
 

@@ -164,6 +164,11 @@ def page(df: DataFrame, offset: int, limit: int, order_by=None) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def chunk_file_name(run_date: Column, chunk: Column, suffix: str = ".csv") -> Column:
-    """``YYYYMMDD-NN.csv`` export name of a chunk."""
+def chunk_file_name(run_date: Column, chunk: Column, suffix: str = ".csv", naming: str = "dated") -> Column:
+    """Export name of a chunk: ``YYYYMMDD-NN.csv`` (``dated``) or
+    ``part_N.csv`` (``part``)."""
+    if naming == "part":
+        return F.concat(F.lit("part_"), chunk.cast("string"), F.lit(suffix))
+    if naming != "dated":
+        raise ValueError("naming must be 'dated' or 'part'")
     return F.concat(F.date_format(run_date, "yyyyMMdd"), F.lit("-"), serial(chunk), F.lit(suffix))

@@ -42,19 +42,22 @@ def existing_chunks(df: DataFrame, out_dir: str) -> DataFrame:
     return files.select(name.alias(FILE_COL)).filter(F.col(FILE_COL) != "").distinct()
 
 
-def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str | _dt.date, *,
+def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str | _dt.date | None = None, *,
                   resume: bool = False, only_chunks=None, single_file: bool = False,
-                  header: bool = True, default_if_nonpositive: int | None = None) -> DataFrame:
+                  header: bool = True, default_if_nonpositive: int | None = None,
+                  naming: str = "dated") -> DataFrame:
     """Write ``df`` as ``n`` ceil-sized chunks named ``YYYYMMDD-NN.csv`` under
     ``out_dir`` and return the planned manifest (``file_name, rows``) of every
     chunk, computed from the row count -- the export is not read back (use
     :func:`manifest` to verify what is on disk).
 
     ``n <= 0`` raises unless ``default_if_nonpositive`` is given (e.g. 15).
-    ``only_chunks`` writes just those chunk numbers (a retry of a few chunks)."""
+    ``only_chunks`` writes just those chunk numbers (a retry of a few chunks).
+    ``naming="part"`` names chunks ``part_N.csv`` (no run date needed)."""
     chunked = assign_chunks(df, n, order_by, "__chunk", index_col="__row",
                             default_if_nonpositive=default_if_nonpositive)
-    chunked = chunked.withColumn(FILE_COL, chunk_file_name(as_date(run_date), F.col("__chunk")))
+    day = as_date(run_date) if run_date is not None else F.lit(None).cast("date")
+    chunked = chunked.withColumn(FILE_COL, chunk_file_name(day, F.col("__chunk"), naming=naming))
     if only_chunks is not None:
         chunked = chunked.filter(F.col("__chunk").isin(list(only_chunks)))
     if resume:
@@ -68,10 +71,11 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
     out = chunked.sortWithinPartitions(FILE_COL, "__row").select(*df.columns, FILE_COL)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("header", header).partitionBy(FILE_COL).csv(out_dir))
-    return planned_manifest(df, n, run_date, default_if_nonpositive)
+    return planned_manifest(df, n, run_date, default_if_nonpositive, naming=naming)
 
 
-def planned_manifest(df: DataFrame, n: int, run_date, default_if_nonpositive: int | None = None) -> DataFrame:
+def planned_manifest(df: DataFrame, n: int, run_date, default_if_nonpositive: int | None = None, *,
+                     naming: str = "dated") -> DataFrame:
     """``file_name, rows`` of every chunk from arithmetic on the row count:
     ``ceil(N/n)`` rows per chunk, the last one shorter (one small job)."""
     from ..operators.chunks import check_count
@@ -82,8 +86,9 @@ def planned_manifest(df: DataFrame, n: int, run_date, default_if_nonpositive: in
     per = total.select(F.explode(F.sequence(F.lit(1), F.ceil(F.col("__n") / size).cast("int"))).alias("c"),
                        "__n", size.alias("__size"))
     rows = F.least(F.col("__size"), F.col("__n") - (F.col("c") - 1) * F.col("__size"))
+    day = as_date(run_date) if run_date is not None else F.lit(None).cast("date")
     return per.filter(F.col("__n") > 0).select(
-        chunk_file_name(as_date(run_date), F.col("c")).alias(FILE_COL), rows.cast("long").alias("rows"))
+        chunk_file_name(day, F.col("c"), naming=naming).alias(FILE_COL), rows.cast("long").alias("rows"))
 
 
 def manifest(df: DataFrame, out_dir: str, *, header: bool = True) -> DataFrame:
