@@ -481,12 +481,16 @@ def q_run_sql_steps(spark, sf_dir):
 
 
 def q_ingest_stream(spark, sf_dir):
+    """CSV files with a header land in a folder; the stream takes them in
+    micro-batches and keeps the latest event per user."""
     ev = table(spark, sf_dir, "events")
     root = scratch_path(spark, "intake")
-    ev.repartitionByRange(10, "ts").write.parquet(f"{root}/incoming")
-    intake.ingest_files(spark, f"{root}/incoming", ev.schema, state_dir=f"{root}/state",
-                        archive_dir=f"{root}/archive", checkpoint_dir=f"{root}/checkpoint",
-                        keys=["user_id"], order_by=["ts", "event_id"], max_files_per_trigger=5)
+    files.write_csv(ev.repartitionByRange(10, "ts"), f"{root}/incoming")
+    intake.ingest_files(spark, f"{root}/incoming", ev.schema, fmt="csv",
+                        options={"header": "true", **files.CSV_TIME_OPTIONS},
+                        state_dir=f"{root}/state", archive_dir=f"{root}/archive",
+                        checkpoint_dir=f"{root}/checkpoint", keys=["user_id"],
+                        order_by=["ts", "event_id"], max_files_per_trigger=5)
     intake.compact_state(spark, f"{root}/state", f"{root}/compacted", ["user_id"], ["ts", "event_id"])
     return spark.read.parquet(f"{root}/compacted")
 

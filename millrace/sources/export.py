@@ -25,7 +25,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.dates import as_date
 from ..operators.chunks import assign_chunks, chunk_file_name
-from .files import list_files
+from .files import CSV_TIME_OPTIONS, list_files
 
 FILE_COL = "file_name"
 DEFAULT_CHUNKS = 15
@@ -69,7 +69,7 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
     # sorted by (file, row): the writer's required order is already met, rows
     # stay in export order inside every file
     out = chunked.sortWithinPartitions(FILE_COL, "__row").select(*df.columns, FILE_COL)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**CSV_TIME_OPTIONS)
      .option("header", header).partitionBy(FILE_COL).csv(out_dir))
     return planned_manifest(df, n, run_date, default_if_nonpositive, naming=naming)
 

@@ -18,6 +18,13 @@ from ..functions.text import base_name, extension
 CORRUPT = "_corrupt_record"
 WRITE_FORMATS = ("parquet", "csv")
 
+# CSV text keeps full microsecond precision (Spark's default timestamp text
+# stops at milliseconds and would silently drop the rest)
+CSV_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _norm_uri(c):
     """One spelling for local URIs (``file:/x`` and ``file:///x``)."""
@@ -121,8 +128,9 @@ def read_csv_typed(spark: SparkSession, path: str, *, sep: str = ",", header: bo
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, mode: str = "overwrite",
               sep: str = ",") -> None:
-    """CSV with a header line, UTF-8."""
-    df.write.mode(mode).option("header", header).option("sep", sep).option("encoding", "UTF-8").csv(path)
+    """CSV with a header line, UTF-8, timestamps to the microsecond."""
+    (df.write.mode(mode).options(**CSV_TIME_OPTIONS).option("header", header).option("sep", sep)
+     .option("encoding", "UTF-8").csv(path))
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
@@ -133,7 +141,7 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "
         raise ValueError(f"unsupported file format {fmt!r}; use one of {WRITE_FORMATS}")
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).options(**CSV_TIME_OPTIONS)
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
     if partition_by:

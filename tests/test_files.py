@@ -96,3 +96,12 @@ def test_conform(spark):
 def test_write_files_rejects_format(spark, tmp_path):
     with pytest.raises(ValueError):
         files.write_files(spark.range(1), str(tmp_path / "x"), "xml")
+
+
+def test_csv_keeps_microseconds(spark, tmp_path):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05.123456' AS n, "
+                   "timestamp'2024-01-02 03:04:05.654321' AS l")
+    files.write_csv(df, str(tmp_path / "t"))
+    back = spark.read.options(**files.CSV_TIME_OPTIONS).option("header", True) \
+        .schema("n timestamp_ntz, l timestamp").csv(str(tmp_path / "t"))
+    assert back.collect() == df.collect()
