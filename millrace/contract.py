@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .functions.dates import utc_stamp
 from .functions.text import base_name, serial
 from .operators import chunks, compare, merge, schema, textparse
-from .plans import daily, sqlsteps
+from .plans import daily, loads, sqlsteps
 from .session import scratch_path, unique_name
 from .sources import export, files, tables
 from .streaming import intake
@@ -206,11 +206,8 @@ def q_csv_typed_load(spark, sf_dir):
     odd = table(spark, sf_dir, "nation").toDF("n nationkey", "n-name", "n.regionkey")
     path = scratch_path(spark, "nation_csv")
     files.write_csv(odd, path)
-    typed = schema.clean_names(files.read_csv_typed(spark, path))
     name = unique_name("nation_loaded")
-    tables.create_table(spark, name, schema.ddl_columns(typed, "int32"),
-                        location=scratch_path(spark, "nation_table"))
-    tables.load_table(typed, name, "append")
+    loads.load_csv_to_table(spark, path, name, policy="int32", location=scratch_path(spark, "nation_table"))
     return spark.table(name)
 
 

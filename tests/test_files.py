@@ -105,3 +105,22 @@ def test_csv_keeps_microseconds(spark, tmp_path):
     back = spark.read.options(**files.CSV_TIME_OPTIONS).option("header", True) \
         .schema("n timestamp_ntz, l timestamp").csv(str(tmp_path / "t"))
     assert back.collect() == df.collect()
+
+
+def test_load_csv_to_table_with_rejects(spark, tmp_path):
+    from millrace.plans import loads
+    good = tmp_path / "good.csv"
+    good.write_text("user id,user-name,score\n1,ann,2.5\n2,bob,3\n")
+    rep = loads.load_csv_to_table(spark, str(good), "loaded_users", location=str(tmp_path / "t1"))
+    assert tuple(rep.first()) == (2, 3, "user_id,user_name,score")
+    assert spark.table("loaded_users").schema.simpleString() == "struct<user_id:int,user_name:string,score:double>"
+    spark.sql("DROP TABLE IF EXISTS loaded_rejects")
+    spark.createDataFrame([], "user_id string, user_name string, score string, _reject_reason string") \
+        .write.option("path", str(tmp_path / "rej")).saveAsTable("loaded_rejects")
+    bad = tmp_path / "bad.csv"
+    # an integer beyond INT under the int32 policy cannot load: it becomes a reject
+    bad.write_text("user id,user-name,score\n1,ann,2.5\n3000000000,big,1\n")
+    rep = loads.load_csv_to_table(spark, str(bad), "loaded_users2", location=str(tmp_path / "t2"),
+                                  reject_table="loaded_rejects")
+    assert rep.first()["row_count"] == 1
+    assert rows(spark.table("loaded_rejects")) == [("3000000000", "big", "1", "user_id")]
