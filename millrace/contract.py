@@ -487,7 +487,8 @@ def q_ingest_stream(spark, sf_dir):
                         options={"header": "true", **files.CSV_TIME_OPTIONS},
                         state_dir=f"{root}/state", archive_dir=f"{root}/archive",
                         checkpoint_dir=f"{root}/checkpoint", keys=["user_id"],
-                        order_by=["ts", "event_id"], max_files_per_trigger=5)
+                        order_by=["ts", "event_id"], max_files_per_trigger=5,
+                        reject_dir=f"{root}/rejects", ledger_dir=f"{root}/ledger")
     intake.compact_state(spark, f"{root}/state", f"{root}/compacted", ["user_id"], ["ts", "event_id"])
     return spark.read.parquet(f"{root}/compacted")
 

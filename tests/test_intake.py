@@ -32,3 +32,24 @@ def test_pending_files(spark):
     listing = spark.createDataFrame([("a.csv",), ("b.csv",), ("c.csv",)], "path string")
     ledger = spark.createDataFrame([("b.csv",)], "path string")
     assert rows(intake.pending_files(listing, ledger)) == [("a.csv",), ("c.csv",)]
+
+
+def test_csv_intake_rejects_and_ledger(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text("user_id,ts,value\n1,1,10\n2,2,20\n")
+    (src / "b.csv").write_text("user_id,ts,value\n1,5,50\nnot-a-number,6,60\n")
+    schema = "user_id long, ts long, value long"
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    out = {n: str(tmp_path / n) for n in ("state", "rej", "ledger", "ck")}
+    intake.ingest_files(spark, str(src), st, fmt="csv", options={"header": "true"},
+                        state_dir=out["state"], archive_dir=None, checkpoint_dir=out["ck"],
+                        keys=["user_id"], order_by=["ts"], reject_dir=out["rej"], ledger_dir=out["ledger"])
+    assert rows(intake.current_state(spark, out["state"], ["user_id"], ["ts"])) == [(1, 5, 50), (2, 2, 20)]
+    rej = spark.read.parquet(out["rej"]).collect()
+    assert len(rej) == 1 and rej[0]["source_file"].endswith("b.csv")
+    ledger = spark.read.parquet(out["ledger"]).select("path")
+    assert ledger.count() == 2
+    listing = ledger.unionByName(spark.createDataFrame([("file:///new.csv",)], "path string"))
+    assert rows(intake.pending_files(listing, ledger)) == [("file:///new.csv",)]
