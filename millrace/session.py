@@ -49,8 +49,18 @@ def get_session(master: str | None = None, app_name: str = "millrace", **conf: s
     cluster defaults do and spark-submit decides the rest. The session time
     zone is pinned to UTC because date/partition text must not depend on the
     machine running the driver. ``spark.checkpoint.dir`` should name a shared
-    folder on a cluster (see :func:`shared_dir`).
+    folder on a cluster (see :func:`shared_dir`). An already running session is
+    returned unchanged apart from the settings passed explicitly.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # a running session keeps its settings; only explicit ones are applied
+        for key, value in conf.items():
+            try:
+                active.conf.set(key, value)
+            except Exception:  # static settings cannot change at run time
+                pass
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
