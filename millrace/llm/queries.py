@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import dac, exact_dedup, mixing, packing
+from . import dac, exact_dedup, mixing, ngram_join, packing
 from .common import table
 
 
@@ -23,6 +23,11 @@ def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def q_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate component of every document."""
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def q_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken_words(table(spark, sf_dir, "documents")).drop("source")
@@ -40,6 +45,7 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard": q_ngram_join,
     "op4_source_mixing": q_source_mixing,
     "op7_exact_dedup": q_exact_dedup,
     "op9_token_codes": q_token_codes,
