@@ -23,19 +23,21 @@ def _star(edges: DataFrame, *, large: bool) -> DataFrame:
     return written(out.where("u != v").distinct(), spark, "star")
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Every node hangs on one other node that itself hangs on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return sums.where("up > 1 or up = 1 and down > 0").isEmpty()
 
 
 def connected(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (columns ``a, b``);
-    the component is its smallest node. Ends when two steps change nothing."""
+    the component is its smallest node. Ends when all trees are stars."""
     spark = links.sparkSession
     edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = written(edges, spark, "links")
-    before, now = None, _mark(edges)
-    while now[0] and now != before:
+    while not _settled(edges):
         edges = _star(_star(edges, large=True), large=False)
-        before, now = now, _mark(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

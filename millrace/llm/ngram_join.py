@@ -16,14 +16,19 @@ How that becomes Spark jobs:
    the cost only. Each representative emits its first ``n - T + 1`` shingles;
    lists of one document vanish, the rest are the short lists.
 3. Rounds: a list whose documents lie in one component is done. In each other
-   list one document is the pivot; a document is checked against the pivot
-   with which it shares most short lists, and components are contracted. A group
-   of thousands of near copies costs a check per member and not one per pair.
-4. All pairs of *different* components that still meet in a short list and whose
-   sizes allow a link are checked. None is dropped: the components are exact.
-5. A check is itself a T-occurrence search (:func:`divide_skip`): the query
-   document's inverted lists over a block of at most ``BLOCK`` candidates, the
-   short ones merged by a heap, the long ones probed by binary search.
+   list the document that meets most others in its lists is the pivot (in later
+   rounds, outside the list's largest component); a document is checked against the pivot with which it shares most short lists, and
+   components are contracted. A group of thousands of near copies costs a check
+   per member and not one per pair.
+4. All pairs of *different* components that still meet in a short list are
+   searched if a link is possible: the sizes must allow it, and so must the places
+   of the shared shingle in both orders (the first shared one has no other before
+   it). Documents with one pivot form a family, cut into blocks; a query is routed
+   to blocks and not to single documents, so rows grow with the number of blocks
+   met. Nothing is dropped: the components are exact.
+5. A search runs :func:`divide_skip` on the inverted lists of one block of about
+   ``BLOCK`` documents: short lists are merged by a heap, long ones probed by
+   binary search.
 
 Shingles are 64-bit hashes; sets are compared by them.
 
@@ -62,9 +67,9 @@ TASK_WINDOW = 4_000_000
 TASK_TABLE = 1 << 18
 #: Candidates of one search; more of one query document go to further blocks.
 BLOCK = 128
-#: Another round of pivots while more pairs than this many per list row are left.
+#: Pivots are tried first where more pairs than this many per list row are open.
 PAIRS_PER_ROW = 4
-MOST_ROUNDS = 12
+PIVOT_ROUNDS = 1
 
 
 def shingles(raw: bytes, words: int = WORDS) -> np.ndarray:
@@ -164,12 +169,12 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _short_lists(frequent, percent: int):
-    """(shingle, doc) for the first ``n - T + 1`` shingles of each document in the global order."""
+    """(shingle, doc, place) for the first ``n - T + 1`` shingles of each document in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = frequent.value
         for batch in slices(batches):
-            found, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            found, owners, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
             for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch), strict=True):
                 s = shingles(raw)
                 take = len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0
@@ -179,8 +184,10 @@ def _short_lists(frequent, percent: int):
                     s = s[np.argsort(rank, kind="stable")]
                 found.append(s[:take])
                 owners.append(np.full(take, doc, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners))],
-                                             names=["shingle", "doc"])
+                places.append(np.arange(take, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(places))],
+                names=["shingle", "doc", "place"])
 
     return run
 
@@ -193,40 +200,54 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _search(percent: int):
-    """One query document against one block of candidates."""
+    """The queries of one group against its block of documents."""
 
-    def run(block: pa.Table) -> pa.Table:
-        rows = block.to_pylist()
-        query = next(np.frombuffer(r["set"], np.uint64) for r in rows if r["doc"] == r["query"])
-        others = sorted((r["doc"], r["set"]) for r in rows if r["doc"] != r["query"])
-        lists: list[list[int]] = [[] for _ in range(len(query))]
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.select(["doc", "query", "set"]).to_pylist()
+        members = sorted((r["doc"], r["set"]) for r in rows if not r["query"])
+        index: dict[int, list[int]] = {}
         sizes = []
-        for i, (_, raw) in enumerate(others):
-            s = np.frombuffer(raw, np.uint64)
+        for i, (_, raw) in enumerate(members):
+            s = np.frombuffer(raw, np.uint64).tolist()
             sizes.append(len(s))
-            at = np.minimum(np.searchsorted(query, s), len(query) - 1)
-            for t in at[query[at] == s].tolist():
-                lists[t].append(i)
-        least = least_overlap(len(query), percent)
-        overlaps = divide_skip(lists, least, least - 1)
-        hits = [i for i, both in overlaps.items() if 100 * both >= percent * (len(query) + sizes[i] - both)]
-        name = rows[0]["query"]
-        return pa.table({"a": pa.array([name] * len(hits), pa.int64()), "b": pa.array([others[i][0] for i in hits], pa.int64())})
+            for t in s:
+                index.setdefault(t, []).append(i)
+        found = []
+        for doc, raw in {(r["doc"], r["set"]) for r in rows if r["query"]}:
+            s = np.frombuffer(raw, np.uint64).tolist()
+            n = len(s)
+            near = [k for k in sizes if min(k, n) * 100 >= max(k, n) * percent]
+            if not near:
+                continue
+            least = -(-(n + min(near)) * percent // (100 + percent))  # T for the smallest that may link
+            lists = [index[t] for t in s if t in index]
+            if len(lists) >= least:
+                for i, both in divide_skip(lists, least, least - 1).items():
+                    if 100 * both >= percent * (n + sizes[i] - both) and members[i][0] != doc:
+                        found.append((doc, members[i][0]))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
     return run
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (query, doc) that link, as ``a, b``. Blocks of a query are dealt by a
-    hash of the candidate, so that no group outgrows a task."""
-    many = F.count(F.lit(1)).over(Window.partitionBy("query"))
-    blocks = pairs.withColumn("block", F.pmod(F.xxhash64("doc"), F.ceil(many / BLOCK)))
-    members = blocks.unionByName(blocks.select("query", "block", F.col("query").alias("doc")).distinct())
-    return members.join(sets, "doc").groupBy("query", "block").applyInArrow(_search(percent), "a long, b long")
+def _searched(routes: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links ``a, b`` between queries and the documents of the blocks they are
+    routed to (``family, part, doc``). A block that many queries reach is copied, so
+    no group holds more than about ``BLOCK`` of each."""
+    spark = routes.sparkSession
+    many = F.count(F.lit(1)).over(Window.partitionBy("family", "part"))
+    dealt = written(routes.withColumn("copy", F.pmod(F.xxhash64("query"), F.ceil(many / BLOCK))), spark, "routes")
+    blocks = dealt.select("family", "part", "copy").distinct().join(members, ["family", "part"])
+    rows = dealt.select("family", "part", "copy", F.col("query").alias("doc"), F.lit(True).alias("query")).unionByName(
+        blocks.select("family", "part", "copy", "doc", F.lit(False).alias("query")))
+    return rows.join(sets, "doc").groupBy("family", "part", "copy").applyInArrow(_search(percent), "a long, b long")
 
 
-def _fits(a, b, percent: int):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _possible(n, place, qn, qplace, percent: int):
+    """Whether documents of ``n`` and ``qn`` shingles can link if the first shingle
+    they share stands at these places: the overlap needed is T of both sizes."""
+    needed = F.ceil((n + qn) * percent / (100 + percent) - 1e-6)
+    return (F.least(n, qn) * 100 >= F.greatest(n, qn) * percent) & (n - place >= needed) & (qn - qplace >= needed)
 
 
 def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
@@ -246,10 +267,11 @@ def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         rows.where("n = 0").select("doc_id", "n")).select("doc_id").distinct(), spark, "copies")
     rep_texts = texts.where("doc_id is not null").join(broadcast_if_small(others), "doc_id", "left_anti")
 
-    emitted = rep_texts.mapInArrow(_short_lists(known, percent), "shingle long, doc long")
+    emitted = rep_texts.mapInArrow(_short_lists(known, percent), "shingle long, doc long, place int")
     listed = emitted.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("members > 1")
-    lists = listed.select("shingle", "doc").join(reps.select("doc", "n"), "doc")
-    lists = written(lists, spark, "short-lists")
+    listed = written(listed.select("shingle", "doc", "place", "members"), spark, "short-lists")
+    per = listed.groupBy("doc").agg(F.sum("members").alias("weight")).join(reps.select("doc", "n"), "doc")
+    lists = written(listed.drop("members").join(per, "doc"), spark, "sized-lists")
     links = _links(lists, rep_texts, percent)
     labels = connected(links)
 
@@ -266,36 +288,49 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     sets = written(texts.join(broadcast_if_small(active), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary"), spark, "sets")
     n_rows = lists.count()
     links = spark.createDataFrame([], "a long, b long")
-    tested = spark.createDataFrame([], "query long, doc long")
+    families = active.select(F.col("doc_id").alias("member"), F.col("doc_id").alias("family"))
     labelled = lists.withColumn("component", F.col("doc"))
-    for step in range(MOST_ROUNDS):
-        of_list = Window.partitionBy("shingle")
+    of_list = Window.partitionBy("shingle")
+    for step in range(PIVOT_ROUNDS + 1):
         open_lists = labelled.withColumn("c0", F.min("component").over(of_list)).withColumn(
             "c1", F.max("component").over(of_list)).where("c0 < c1").drop("c0", "c1")
         open_lists = written(open_lists, spark, "open-lists")
         per = open_lists.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("shingle").agg(
             F.sum("k").alias("g"), F.sum(F.col("k") * F.col("k")).alias("same"), F.max_by("component", F.struct("k", "component")).alias("main"))
         left = per.agg(F.sum((F.col("g") * F.col("g") - F.col("same")) / 2)).first()[0] or 0
-        if left <= PAIRS_PER_ROW * n_rows:
+        if left <= PAIRS_PER_ROW * n_rows or step == PIVOT_ROUNDS:
             break
-        one = F.min(F.struct(F.xxhash64("doc", F.lit(step)).alias("h"), F.col("doc").alias("query"), F.col("n").alias("qn"),
-                             F.col("component").alias("qc"))).over(of_list)
-        met = open_lists.withColumn("p", one).select("doc", "n", "component", "p.query", "p.qn", "p.qc")
-        met = met.where((F.col("component") != F.col("qc")) & _fits(F.col("n"), F.col("qn"), percent))
-        pairs = met.groupBy("doc", "query").count().join(tested, ["query", "doc"], "left_anti")
-        best = pairs.groupBy("doc").agg(F.max_by("query", F.struct("count", "query")).alias("query"))
-        best = written(best.select("query", "doc"), spark, "pivots")
-        links = written(links.unionByName(_checked(best, sets, percent)), spark, "links")
-        tested = written(tested.unionByName(best), spark, "tested")
+        central = F.when(F.lit(step == 0) | (F.col("component") != F.col("main")), F.struct(
+            "weight", F.col("doc").alias("pivot"), F.col("n").alias("qn"), F.col("place").alias("qplace"), F.col("component").alias("qc")))
+        met = open_lists.join(per.select("shingle", "main"), "shingle").withColumn("p", F.max(central).over(of_list))
+        met = met.select("doc", "n", "place", "component", "p.pivot", "p.qn", "p.qplace", "p.qc")
+        met = met.where((F.col("component") != F.col("qc")) & _possible(F.col("n"), F.col("place"), F.col("qn"), F.col("qplace"), percent))
+        pairs = met.groupBy("doc", "pivot").count()
+        best = written(pairs.groupBy("doc").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")), spark, "pivots")
+        if step == 0:
+            families = best.select(F.col("doc").alias("member"), F.col("pivot").alias("family"))
+        routes = best.select(F.col("doc").alias("query"), F.col("pivot").alias("family"), F.lit(0).alias("part"))
+        heads = best.select(F.col("pivot").alias("family"), F.lit(0).alias("part"), F.col("pivot").alias("doc")).distinct()
+        links = written(links.unionByName(_searched(routes, heads, sets, percent)), spark, "links")
         labels = connected(links)
         labelled = lists.join(labels, F.col("doc") == F.col("node"), "left").select(
-            "shingle", "doc", "n", F.coalesce("component", "doc").alias("component"))
-    left_rows = open_lists.join(per.select("shingle", "main"), "shingle")
-    a = left_rows.where("component != main").select("shingle", F.col("doc").alias("query"), F.col("n").alias("qn"), F.col("component").alias("qc"))
-    b = left_rows.select("shingle", "doc", "n", "component", "main")
-    once = (F.col("component") == F.col("main")) | (F.col("qc") < F.col("component"))
-    pairs = a.join(b, "shingle").where((F.col("qc") != F.col("component")) & once & _fits(F.col("n"), F.col("qn"), percent))
-    pairs = pairs.select("query", "doc").distinct()
-    pairs = pairs.join(tested, ["query", "doc"], "left_anti").join(
-        tested.select(F.col("query").alias("doc"), F.col("doc").alias("query")), ["query", "doc"], "left_anti")
-    return written(links.unionByName(_checked(written(pairs, spark, "pairs"), sets, percent)), spark, "links")
+            "shingle", "doc", "place", "weight", "n", F.coalesce("component", "doc").alias("component"))
+
+    placed = active.join(families, F.col("doc_id") == F.col("member"), "left").select(
+        F.col("doc_id").alias("doc"), F.coalesce("family", "doc_id").alias("family"))
+    sizes = placed.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    members = written(placed.join(sizes, "family").select(
+        "family", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "doc"), spark, "blocks")
+    rest = open_lists.join(members, "doc")
+    met = rest.groupBy("shingle", "family", "part").agg(
+        F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("place").alias("place"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+    queries = open_lists.join(per.select("shingle", "main"), "shingle").where("component != main").select(
+        "shingle", F.col("doc").alias("query"), F.col("n").alias("qn"), F.col("place").alias("qplace"), F.col("component").alias("qc"))
+    low = F.greatest(F.col("n0"), F.ceil(F.col("qn") * percent / 100 - 1e-6))  # the smallest size there that may link
+    fits = (F.col("n1") * 100 >= F.col("qn") * percent) & (F.col("n0") * percent <= F.col("qn") * 100)
+    needed = F.ceil((low + F.col("qn")) * percent / (100 + percent) - 1e-6)
+    routes = queries.join(met, "shingle").where(
+        ((F.col("c0") != F.col("qc")) | (F.col("c1") != F.col("qc"))) & fits
+        & (F.col("qn") - F.col("qplace") >= needed) & (F.col("n1") - F.col("place") >= needed))
+    routes = routes.select("query", "family", "part").distinct()
+    return written(links.unionByName(_searched(routes, members, sets, percent)), spark, "links")
