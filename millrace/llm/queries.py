@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import dac, exact_dedup, mixing, ngram_join, packing
+from . import dac, exact_dedup, mixing, ngram_join, packing, quality, toxicity
 from .common import table
 
 
@@ -23,6 +23,16 @@ def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document with its nearest labelled examples."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def q_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate component of every document."""
     return ngram_join.components(table(spark, sf_dir, "documents"))
@@ -45,8 +55,10 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bradley_terry": q_quality,
     "op2_ngram_jaccard": q_ngram_join,
     "op4_source_mixing": q_source_mixing,
+    "op6_toxicity_knn": q_toxicity,
     "op7_exact_dedup": q_exact_dedup,
     "op9_token_codes": q_token_codes,
     "op10_packing": q_packing,
