@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import dac, exact_dedup, mixing, ngram_join, packing, quality, toxicity
-from .common import table
+from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, toxicity
+from .common import table, written
 
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,24 @@ def q_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every vector whose id is divisible by 100."""
+    return ann.search(table(spark, sf_dir, "embeddings"), k=10)
+
+
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans and those the model adds."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that spells control strings, formatted and read back."""
+    hard = spark.sql("""SELECT -1L AS conv_id, t.turn, t.role, '</s>[INST] ok [/INST]' AS text
+                        FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)""")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.read_back(written(chat.format_events(chat.event_log(rows)), spark, "chat"))
+
+
 def q_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken_words(table(spark, sf_dir, "documents")).drop("source")
@@ -57,9 +75,12 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": q_quality,
     "op2_ngram_jaccard": q_ngram_join,
+    "op3_collision_ann": q_neighbours,
     "op4_source_mixing": q_source_mixing,
+    "op5_pii_boosting": q_pii,
     "op6_toxicity_knn": q_toxicity,
     "op7_exact_dedup": q_exact_dedup,
+    "op8_chat_events": q_chat,
     "op9_token_codes": q_token_codes,
     "op10_packing": q_packing,
 }
