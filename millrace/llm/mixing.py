@@ -17,8 +17,8 @@ however large, is summed or numbered in one task.
    equal word counts. The slot of rank ``r`` takes block ``r``.
 
 Defined cases: null text has size 0; a null source is a source of its own and
-comes last; documents of size 0 are never taken; repeated rows are separate
-documents of the stream, added up per doc_id; an empty table gives an empty
+comes last; documents of size 0 are never taken; rows that repeat a doc_id
+in a source are separate documents of the stream, what is taken of them is added up; an empty table gives an empty
 result; sources without words get target 0.
 """
 
@@ -151,10 +151,22 @@ def mix(docs: DataFrame, *, share: float = 1.5, max_epochs: int = 2, weights=WEI
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
-    """Per document row: ``doc_id, size, source_size, target, taken, source``. A
-    doc_id held by several rows has their taken words split by size."""
+    """Per document row: ``doc_id, size, source_size, target, taken, source``. Rows that
+    share doc_id and source show what is taken of them together."""
     sizes, taken = mix(docs, **options)
     per = taken.groupBy(F.col("doc_id").alias("of"), F.col("source").alias("from")).agg(F.sum("length").alias("words"))
     out = sizes.join(per, sizes["doc_id"].eqNullSafe(F.col("of")) & sizes["source"].eqNullSafe(F.col("from")), "left")
-    same = Window.partitionBy("doc_id", "source")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), "source")
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents: each row as often as its taken words hold it, to the
+    nearest whole number (0 drops it), with all its columns."""
+    words = taken_words(docs, **options)
+    times = words.groupBy("doc_id", "source").agg(F.first("taken").alias("taken"), F.sum("size").alias("size"))
+    times = times.where("size > 0").select(F.col("doc_id").alias("__of"), F.col("source").alias("__from"),
+                                           F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times"))
+    times = written(times.where("__times > 0"), docs.sparkSession, "mix-times")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__of")) & docs["source"].cast("string").eqNullSafe(F.col("__from"))
+    out = docs.join(broadcast_if_small(times), same)
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)

@@ -334,3 +334,12 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         & (F.col("qn") - F.col("qplace") >= needed) & (F.col("n1") - F.col("place") >= needed))
     routes = routes.select("query", "family", "part").distinct()
     return written(links.unionByName(_searched(routes, members, sets, percent)), spark, "links")
+
+
+def keep_first(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, with all its columns."""
+    spark = docs.sparkSession
+    found = components(docs, percent=percent)
+    dropped = found.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__dropped")).distinct()
+    side = broadcast_if_small(written(dropped, spark, "near-copies"))
+    return docs.join(side, docs["doc_id"].cast("long") == side["__dropped"], "left_anti")

@@ -274,3 +274,17 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     out = score(docs, train(docs, labels, **options))
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= CUT).cast("int").alias("predicted"), "neighbours", "similarities")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that score below the cut, with all their columns; texts are
+    judged where they lie, nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = shared.value
+        for batch in slices(batches):
+            texts = batch.column("text")
+            yield batch.filter(pa.array([judge.judge(t.as_py() or "")[0] < CUT for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
