@@ -19,11 +19,13 @@ from array import array
 import public_tokenizers
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 700_000
+CACHE_PIECES = 1_400_000
 CACHE_PIECE_CHARS = 48
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit
+_SUSPECT = re.compile(r" (?:\s|\Z)")  # a quick test that most texts fail
 _UNSAFE = re.compile(r"\s \s|\s \Z")
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,32})([.,;:!?]{0,8})")
+_WORD = r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,32})([.,;:!?]{0,4})"
+_PLAIN = re.compile(rf"{_WORD}(?:\n{_WORD})?")
 
 
 def _byte_characters() -> dict[int, str]:
@@ -42,7 +44,7 @@ class Encoder(dict):
     _open: dict[str, Encoder] = {}
 
     def __init__(self, name: str):
-        super().__init__()
+        super().__init__({None: b""})
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.model = self.tokenizer.model
@@ -50,6 +52,8 @@ class Encoder(dict):
         lowered = self.tokenizer.normalizer is not None  # this vocabulary drops white space, too
         self.space = "" if lowered else " "
         self.plain = str.lower if lowered else str
+        self.marks: dict[str, bytes] = {}  # short runs of six characters: a few thousand at most
+        self.line_break = self.whole("\n")
 
     @classmethod
     def of(cls, name: str) -> Encoder:
@@ -65,25 +69,37 @@ class Encoder(dict):
         written = text.encode().decode("latin-1").translate(self.characters)
         return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
 
+    def _plain(self, word: str, marks: str, spaced: bool) -> bytes:
+        """A word of plain letters and the marks after it, with or without a space before."""
+        ids = self._word((self.space if spaced else "") + self.plain(word))
+        if marks:
+            if marks not in self.marks:
+                self.marks[marks] = self._word(marks)
+            ids += self.marks[marks]
+        return ids
+
     def __missing__(self, piece: str) -> bytes:
         match = _PLAIN.fullmatch(piece)
-        if not match:
-            ids = self.whole(self.space + piece)
-            if len(piece) <= CACHE_PIECE_CHARS:
-                self[piece] = ids
-            return ids
-        word, marks = match.groups()
-        if marks:
-            ids = self[word] + self._word(marks)
+        if match:
+            word, marks, line, marks_there = match.groups()
+            if line is None:
+                ids = self._plain(word, marks, True)
+            else:  # two words around one line break: cached on their own, as the pair is rare
+                return self[word + marks] + self.line_break + self._plain(line, marks_there, False)
         else:
-            ids = self._word(self.space + self.plain(word))
-        self[piece] = ids
+            ids = self.whole(self.space + piece)
+        if len(piece) <= CACHE_PIECE_CHARS:
+            self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _UNSAFE.search(text):
+        if _SUSPECT.search(text) and _UNSAFE.search(text):
             return self.whole(text)
         if len(self) > CACHE_PIECES:
             self.clear()
-        head, *rest = text.split(" ")
-        return self.whole(head) + b"".join(map(self.__getitem__, rest))
+            self[None] = b""
+        pieces = text.split(" ")
+        match = _PLAIN.fullmatch(pieces[0])  # the first piece has no space before it
+        head = self._plain(*match.groups()[:2], False) if match and match[3] is None else self.whole(pieces[0])
+        pieces[0] = None  # its ids come from above
+        return head + b"".join(map(self.__getitem__, pieces))
