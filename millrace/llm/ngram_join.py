@@ -21,11 +21,11 @@ How that becomes Spark jobs:
    components are contracted. A group of thousands of near copies costs a check
    per member and not one per pair.
 4. All pairs of *different* components that still meet in a short list are
-   searched if a link is possible: the sizes must allow it, and so must the places
-   of the shared shingle in both orders (the first shared one has no other before
-   it). Documents with one pivot form a family, cut into blocks; a query is routed
-   to blocks and not to single documents, so rows grow with the number of blocks
-   met. Nothing is dropped: the components are exact.
+   searched if a link is possible: the sizes must allow it, and the number of short
+   lists they share must reach what two linked documents share at least
+   (:func:`_least_shared`). Documents with one pivot form a family, cut into blocks;
+   a query is routed to blocks and not to single documents, so rows grow with the
+   number of blocks met. Nothing is dropped: the components are exact.
 5. A search runs :func:`divide_skip` on the inverted lists of one block of about
    ``BLOCK`` documents: short lists are merged by a heap, long ones probed by
    binary search.
@@ -67,8 +67,7 @@ TASK_WINDOW = 4_000_000
 TASK_TABLE = 1 << 18
 #: Candidates of one search; more of one query document go to further blocks.
 BLOCK = 128
-#: Pivots are tried first where more pairs than this many per list row are open.
-PAIRS_PER_ROW = 4
+#: Rounds of pivots before the pairs that are left are searched.
 PIVOT_ROUNDS = 1
 
 
@@ -169,12 +168,12 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _short_lists(frequent, percent: int):
-    """(shingle, doc, place) for the first ``n - T + 1`` shingles of each document in the global order."""
+    """(shingle, doc) for the first ``n - T + 1`` shingles of each document in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = frequent.value
         for batch in slices(batches):
-            found, owners, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+            found, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch), strict=True):
                 s = shingles(raw)
                 take = len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0
@@ -184,10 +183,8 @@ def _short_lists(frequent, percent: int):
                     s = s[np.argsort(rank, kind="stable")]
                 found.append(s[:take])
                 owners.append(np.full(take, doc, np.int64))
-                places.append(np.arange(take, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(places))],
-                names=["shingle", "doc", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners))],
+                                             names=["shingle", "doc"])
 
     return run
 
@@ -230,24 +227,35 @@ def _search(percent: int):
     return run
 
 
-def _searched(routes: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _searched(routes: DataFrame, members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The links ``a, b`` between queries and the documents of the blocks they are
     routed to (``family, part, doc``). A block that many queries reach is copied, so
-    no group holds more than about ``BLOCK`` of each."""
+    no group holds more than about ``BLOCK`` of each. Only the documents that take
+    part are cut into shingles again."""
     spark = routes.sparkSession
     many = F.count(F.lit(1)).over(Window.partitionBy("family", "part"))
     dealt = written(routes.withColumn("copy", F.pmod(F.xxhash64("query"), F.ceil(many / BLOCK))), spark, "routes")
     blocks = dealt.select("family", "part", "copy").distinct().join(members, ["family", "part"])
-    rows = dealt.select("family", "part", "copy", F.col("query").alias("doc"), F.lit(True).alias("query")).unionByName(
-        blocks.select("family", "part", "copy", "doc", F.lit(False).alias("query")))
+    rows = written(dealt.select("family", "part", "copy", F.col("query").alias("doc"), F.lit(True).alias("query")).unionByName(
+        blocks.select("family", "part", "copy", "doc", F.lit(False).alias("query"))), spark, "routed")
+    needed = written(rows.select(F.col("doc").alias("doc_id")).distinct(), spark, "needed")
+    sets = texts.join(broadcast_if_small(needed), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary")
     return rows.join(sets, "doc").groupBy("family", "part", "copy").applyInArrow(_search(percent), "a long, b long")
 
 
-def _possible(n, place, qn, qplace, percent: int):
-    """Whether documents of ``n`` and ``qn`` shingles can link if the first shingle
-    they share stands at these places: the overlap needed is T of both sizes."""
-    needed = F.ceil((n + qn) * percent / (100 + percent) - 1e-6)
-    return (F.least(n, qn) * 100 >= F.greatest(n, qn) * percent) & (n - place >= needed) & (qn - qplace >= needed)
+def _least_shared(qn, low, high, percent: int):
+    """How many short lists two documents that link share at least. Of an overlap O, the
+    document whose short lists end earlier in the global order holds all but T - 1 in
+    them, and those are short lists of the other, too: O - max(T) + 1. One has ``qn``
+    shingles, the other ``low`` to ``high``; sizes that cannot link are left out."""
+    bottom = F.greatest(low, F.ceil(qn * percent / 100 - 1e-6))
+    top = F.least(high, F.floor(qn * 100 / percent + 1e-6))
+    overlap = F.ceil((bottom + qn) * percent / (100 + percent) - 1e-6)
+    return F.greatest(overlap - F.ceil(F.greatest(top, qn) * percent / 100 - 1e-6) + 1, F.lit(1))
+
+
+def _sizes_fit(low, high, qn, percent: int):
+    return (high * 100 >= qn * percent) & (low * percent <= qn * 100)
 
 
 def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
@@ -267,10 +275,10 @@ def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         rows.where("n = 0").select("doc_id", "n")).select("doc_id").distinct(), spark, "copies")
     rep_texts = texts.where("doc_id is not null").join(broadcast_if_small(others), "doc_id", "left_anti")
 
-    emitted = rep_texts.mapInArrow(_short_lists(known, percent), "shingle long, doc long, place int")
+    emitted = rep_texts.mapInArrow(_short_lists(known, percent), "shingle long, doc long")
     listed = emitted.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("members > 1")
-    listed = written(listed.select("shingle", "doc", "place", "members"), spark, "short-lists")
-    per = listed.groupBy("doc").agg(F.sum("members").alias("weight")).join(reps.select("doc", "n"), "doc")
+    listed = written(listed.select("shingle", "doc", "members"), spark, "short-lists")
+    per = listed.groupBy("doc").agg(F.sum("members").alias("weight"), F.count(F.lit(1)).alias("k")).join(reps.select("doc", "n"), "doc")
     lists = written(listed.drop("members").join(per, "doc"), spark, "sized-lists")
     links = _links(lists, rep_texts, percent)
     labels = connected(links)
@@ -285,8 +293,6 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between representatives that give the exact components."""
     spark = lists.sparkSession
     active = written(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "active")
-    sets = written(texts.join(broadcast_if_small(active), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary"), spark, "sets")
-    n_rows = lists.count()
     links = spark.createDataFrame([], "a long, b long")
     families = active.select(F.col("doc_id").alias("member"), F.col("doc_id").alias("family"))
     labelled = lists.withColumn("component", F.col("doc"))
@@ -296,50 +302,46 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             "c1", F.max("component").over(of_list)).where("c0 < c1").drop("c0", "c1")
         open_lists = written(open_lists, spark, "open-lists")
         per = open_lists.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("shingle").agg(
-            F.sum("k").alias("g"), F.sum(F.col("k") * F.col("k")).alias("same"), F.max_by("component", F.struct("k", "component")).alias("main"))
-        left = per.agg(F.sum((F.col("g") * F.col("g") - F.col("same")) / 2)).first()[0] or 0
-        if left <= PAIRS_PER_ROW * n_rows or step == PIVOT_ROUNDS:
+            F.max_by("component", F.struct("k", "component")).alias("main"))
+        if step == PIVOT_ROUNDS:
             break
         central = F.when(F.lit(step == 0) | (F.col("component") != F.col("main")), F.struct(
-            "weight", F.col("doc").alias("pivot"), F.col("n").alias("qn"), F.col("place").alias("qplace"), F.col("component").alias("qc")))
+            "weight", F.col("doc").alias("pivot"), F.col("n").alias("qn"), F.col("component").alias("qc")))
         met = open_lists.join(per.select("shingle", "main"), "shingle").withColumn("p", F.max(central).over(of_list))
-        met = met.select("doc", "n", "place", "component", "p.pivot", "p.qn", "p.qplace", "p.qc")
-        met = met.where((F.col("component") != F.col("qc")) & _possible(F.col("n"), F.col("place"), F.col("qn"), F.col("qplace"), percent))
-        pairs = met.groupBy("doc", "pivot").count()
-        best = written(pairs.groupBy("doc").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")), spark, "pivots")
+        met = met.select("doc", "n", "component", "p.pivot", "p.qn", "p.qc").where(
+            (F.col("component") != F.col("qc")) & _sizes_fit(F.col("n"), F.col("n"), F.col("qn"), percent))
+        pairs = met.groupBy("doc", "pivot", "n", "qn").count()
+        enough = F.col("count") >= _least_shared(F.col("qn"), F.col("n"), F.col("n"), percent)
+        best = written(pairs.groupBy("doc").agg(F.max_by(F.struct("pivot", enough.alias("enough")), F.struct("count", "pivot")).alias("p")).select(
+            "doc", "p.pivot", "p.enough"), spark, "pivots")
         if step == 0:
             families = best.select(F.col("doc").alias("member"), F.col("pivot").alias("family"))
+        best = best.where("enough")
         routes = best.select(F.col("doc").alias("query"), F.col("pivot").alias("family"), F.lit(0).alias("part"))
         heads = best.select(F.col("pivot").alias("family"), F.lit(0).alias("part"), F.col("pivot").alias("doc")).distinct()
-        links = written(links.unionByName(_searched(routes, heads, sets, percent)), spark, "links")
+        links = written(links.unionByName(_searched(routes, heads, texts, percent)), spark, "links")
         labels = connected(links)
         labelled = lists.join(labels, F.col("doc") == F.col("node"), "left").select(
-            "shingle", "doc", "place", "weight", "n", F.coalesce("component", "doc").alias("component"))
+            "shingle", "doc", "weight", "k", "n", F.coalesce("component", "doc").alias("component"))
 
     placed = active.join(families, F.col("doc_id") == F.col("member"), "left").select(
         F.col("doc_id").alias("doc"), F.coalesce("family", "doc_id").alias("family"))
     sizes = placed.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    members = written(placed.join(sizes, "family").select(
-        "family", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "doc"), spark, "blocks")
-    rest = open_lists.join(members, "doc")
-    met = rest.groupBy("shingle", "family", "part").agg(
-        F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("place").alias("place"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-    queries = open_lists.join(per.select("shingle", "main"), "shingle").where("component != main").select(
-        "shingle", F.col("doc").alias("query"), F.col("n").alias("qn"), F.col("place").alias("qplace"), F.col("component").alias("qc"))
-    low = F.greatest(F.col("n0"), F.ceil(F.col("qn") * percent / 100 - 1e-6))  # the smallest size there that may link
-    fits = (F.col("n1") * 100 >= F.col("qn") * percent) & (F.col("n0") * percent <= F.col("qn") * 100)
-    needed = F.ceil((low + F.col("qn")) * percent / (100 + percent) - 1e-6)
-    routes = queries.join(met, "shingle").where(
-        ((F.col("c0") != F.col("qc")) | (F.col("c1") != F.col("qc"))) & fits
-        & (F.col("qn") - F.col("qplace") >= needed) & (F.col("n1") - F.col("place") >= needed))
-    routes = routes.select("query", "family", "part").distinct()
-    return written(links.unionByName(_searched(routes, members, sets, percent)), spark, "links")
-
-
-def keep_first(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with all its columns."""
-    spark = docs.sparkSession
-    found = components(docs, percent=percent)
-    dropped = found.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    side = broadcast_if_small(written(dropped, spark, "near-copies"))
-    return docs.join(side, docs["doc_id"].cast("long") == side["__dropped"], "left_anti")
+    own = lists.groupBy("doc").agg(F.first("n").alias("n"))
+    members = written(placed.join(sizes, "family").join(own, "doc").select(
+        "family", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "doc", "n"), spark, "blocks")
+    ranges = members.groupBy("family", "part").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
+    # of two components the smaller one asks, so all short lists that two documents share are counted once
+    volume = labelled.select("doc", "component").distinct().groupBy("component").agg(F.count(F.lit(1)).alias("docs"))
+    ranked = open_lists.join(volume, "component").withColumn("c", F.struct("docs", "component")).drop("docs", "component")
+    met = ranked.join(members.drop("n"), "doc").groupBy("shingle", "family", "part").agg(
+        F.max("c").alias("top"), F.min("n").alias("low"), F.max("n").alias("high")).join(ranges, ["family", "part"])
+    queries = ranked.withColumn("largest", F.max("c").over(of_list)).where("c < largest").select(
+        "shingle", F.col("doc").alias("query"), F.col("n").alias("qn"), "k", "c")
+    least = _least_shared(F.col("qn"), F.col("n0"), F.col("n1"), percent)
+    shared = queries.join(met, "shingle").where(
+        (F.col("c") < F.col("top")) & _sizes_fit(F.col("low"), F.col("high"), F.col("qn"), percent) & (F.col("k") >= least))
+    shared = shared.groupBy("query", "family", "part").agg(F.count(F.lit(1)).alias("shared"), F.first(least).alias("least"))
+    routes = shared.where("shared >= least")
+    found = _searched(routes.select("query", "family", "part"), members.drop("n"), texts, percent)
+    return written(links.unionByName(found), spark, "links")
