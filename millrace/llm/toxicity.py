@@ -40,6 +40,7 @@ MAX_PER_LABEL = 5000
 MAX_TERMS = 4096
 NEAREST = 15
 BLOCK = 64
+FIRST_BLOCKS = 8
 PREFIXES = range(4, 9)
 LEAST_RATIO = 5.0  # how much likelier a term must be under the label it speaks for
 LEAST_Z = 2.3
@@ -88,7 +89,7 @@ class BlockMaxIndex:
         order = np.lexsort((rows, cols))
         rows, cols, vals = rows[order], cols[order], vals[order]
         ends = np.searchsorted(cols, np.arange(n_terms + 1))
-        self.ids, self.weights, self.blocks, self.maxima, self.cuts = [], [], [], [], []
+        self.ids, self.weights, self.blocks, self.maxima, self.homes = [], [], [], [], []
         for t in range(n_terms):
             i, w = rows[ends[t]:ends[t + 1]], vals[ends[t]:ends[t + 1]]
             at, first = np.unique(i // block, return_index=True)
@@ -96,7 +97,7 @@ class BlockMaxIndex:
             self.weights.append(w)
             self.blocks.append(at)
             self.maxima.append(np.maximum.reduceat(w, first) if len(w) else w)
-            self.cuts.append(np.append(first, len(i)))
+            self.homes.append(i // block)
 
     def nearest(self, which: np.ndarray, weights: np.ndarray, k: int = NEAREST, skip: int = -1) -> list[tuple[int, float]]:
         """The ``k`` examples of largest cosine (above 0), ties to the smaller number."""
@@ -104,17 +105,26 @@ class BlockMaxIndex:
         for t, w in zip(which, weights, strict=True):
             bound[self.blocks[t]] += w * self.maxima[t]
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            local = np.zeros(self.block)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        at, step = 0, FIRST_BLOCKS
+        while at < len(order):  # blocks by falling bound, a few at first, then all that may still matter
+            if len(best) == k:
+                order = order[:at + int(np.count_nonzero(bound[order[at:]] >= -best[-1][0] - 1e-12))]
+            batch = order[at:at + step]
+            chosen = np.zeros(self.n_blocks, bool)
+            chosen[batch] = True
+            total = np.zeros(self.n_blocks * self.block)
             for t, w in zip(which, weights, strict=True):
-                at = int(np.searchsorted(self.blocks[t], b))
-                if at < len(self.blocks[t]) and self.blocks[t][at] == b:
-                    lo, hi = self.cuts[t][at], self.cuts[t][at + 1]
-                    local[self.ids[t][lo:hi] - b * self.block] += w * self.weights[t][lo:hi]
-            hits = np.flatnonzero(local)
-            best = sorted(best + [(-round(float(local[i]), 12), int(b * self.block + i)) for i in hits if b * self.block + i != skip])[:k]
+                here = chosen[self.homes[t]]
+                total[self.ids[t][here]] += w * self.weights[t][here]
+            total = np.round(total, 12)
+            if 0 <= skip < len(total):
+                total[skip] = 0
+            hits = np.flatnonzero(total)
+            hits = hits[np.argsort(-total[hits], kind="stable")[:k]]
+            best = sorted(best + [(-float(total[i]), int(i)) for i in hits])[:k]
+            at, step = at + len(batch), 4 * step
         return [(i, -s) for s, i in best]
 
 
