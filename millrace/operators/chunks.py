@@ -6,8 +6,8 @@ partition, numbered locally, and shifted by the row counts of the partitions
 before them (a table with one row per partition, broadcast back). The counts
 and the numbers read the same range exchange (Spark reuses it), and with a
 total order (a row-hash tie-break) a recomputed partition after a lost
-executor gets the same numbers. ``checkpoint=True`` additionally cuts the
-lineage into the shared checkpoint folder.
+executor gets the same numbers. The ranges are written to the
+shared checkpoint folder once, so numbers and counts rest on the same rows.
 """
 
 from __future__ import annotations
@@ -31,8 +31,7 @@ def _order_cols(order_by: str | Column | Sequence[str | Column]) -> list[Column]
 
 
 def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
-                   num_partitions: int | None = None, tie_break: bool = True,
-                   checkpoint: bool = False) -> DataFrame:
+                   num_partitions: int | None = None, tie_break: bool = True) -> DataFrame:
     """Add ``index_col`` = 1..N following ``order_by`` (ascending).
 
     ``tie_break`` appends ``xxhash64`` of the whole row to the order, so rows
@@ -49,14 +48,11 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
     # monotonically_increasing_id = (partition << 33) + position in partition
     local = ranged.sortWithinPartitions(*order).select(
         "*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_LOCAL))
-    if checkpoint:
-        shared_dir(spark)
-        local = local.checkpoint(eager=True)
-        counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
-    else:
-        # same range exchange (reused), counted without the sort
-        counts = ranged.select(F.spark_partition_id().alias(_PID)) \
-            .groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
+    # counts and numbers must come from one and the same range exchange: its rows are
+    # written to the shared folder once, and a lost executor does not deal them anew
+    shared_dir(spark)
+    local = local.checkpoint(eager=True)
+    counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()  # over <= num_partitions rows
     offsets = counts.select(

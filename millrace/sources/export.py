@@ -95,5 +95,5 @@ def manifest(df: DataFrame, out_dir: str, *, header: bool = True) -> DataFrame:
     """Rows per chunk as read back from ``out_dir``."""
     spark = df.sparkSession
     schema = ", ".join(f"`{c}` string" for c in df.columns) + f", {FILE_COL} string"
-    back = spark.read.schema(schema).option("header", header).csv(out_dir)
+    back = spark.read.schema(schema).options(**CSV_TIME_OPTIONS).option("header", header).option("multiLine", True).csv(out_dir)
     return back.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("rows"))

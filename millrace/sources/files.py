@@ -20,7 +20,10 @@ WRITE_FORMATS = ("parquet", "csv")
 
 # CSV text keeps full microsecond precision (Spark's default timestamp text
 # stops at milliseconds and would silently drop the rest)
+#: One set for every reader and writer: quotes are doubled as CSV writers do, cells keep their blanks.
+CSV_QUOTING = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 CSV_TIME_OPTIONS = {
+    **CSV_QUOTING,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
@@ -80,20 +83,20 @@ def count_files(spark: SparkSession, path: str, ext: str | None = None) -> DataF
 
 def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """Column names from the header line (reads only the first line)."""
-    return spark.read.option("header", True).option("sep", sep).csv(path).columns
+    return spark.read.options(**CSV_QUOTING).option("header", True).option("sep", sep).csv(path).columns
 
 
 def read_csv_text(spark: SparkSession, path: str, *, sep: str = ",",
                   columns: Sequence[str] | None = None, header: bool = True,
-                  empty_as_text: bool = True, multiline: bool = False,
+                  empty_as_text: bool = True, multiline: bool = True,
                   keep_corrupt: bool = False) -> DataFrame:
     """CSV, every column as text; column names from the header row, or
     ``columns`` for files without one.
 
     A present-but-empty cell is ``''`` (Spark would give null) on well-formed
     rows; a short or long row is kept with nulls for its missing cells and
-    flagged by ``_corrupt_record``. ``multiline`` allows quoted line breaks at
-    the cost of reading each file in one task.
+    flagged by ``_corrupt_record``. Quoted line breaks are part of a cell;
+    ``multiline=False`` splits large files over tasks where none occur.
     """
     if columns is None:
         if not header:
@@ -102,7 +105,7 @@ def read_csv_text(spark: SparkSession, path: str, *, sep: str = ",",
     columns = list(columns)
     schema = StructType([StructField(c, StringType()) for c in columns] +
                         [StructField(CORRUPT, StringType())])
-    raw = (spark.read.schema(schema).option("header", header).option("sep", sep)
+    raw = (spark.read.schema(schema).options(**CSV_QUOTING).option("header", header).option("sep", sep)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .option("multiLine", multiline).csv(path))
     well_formed = F.col(CORRUPT).isNull()
@@ -118,7 +121,7 @@ def read_csv_typed(spark: SparkSession, path: str, *, sep: str = ",", header: bo
     """CSV with inferred (or given) types. Without a header the columns are
     positional (``_c0``, ``_c1``...). Inference reads the whole input by default;
     lower ``sampling_ratio`` on very large inputs."""
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = spark.read.options(**CSV_QUOTING).option("header", header).option("sep", sep).option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
     else:

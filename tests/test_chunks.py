@@ -82,3 +82,16 @@ def test_range_tie_break_splits_a_hot_key(spark):
     assert max(sizes) < 0.25 * 30000
     out = chunks.with_row_index(df, "k", "i", num_partitions=6)
     assert out.select(F.min("i"), F.max("i"), F.countDistinct("i")).first() == (1, 30000, 30000)
+
+
+def test_row_index_is_gapless_without_tie_break_or_exchange_reuse(spark):
+    from millrace.operators import chunks
+    df = spark.range(5000).selectExpr("id", "id % 3 AS k", "repeat('x', 50) AS wide")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        for tie_break in (False, True):
+            got = chunks.with_row_index(df, "k", tie_break=tie_break).select("row_index", "k").collect()
+            assert sorted(r[0] for r in got) == list(range(1, 5001))
+            assert [r[1] for r in sorted(got)] == sorted(r[1] for r in got)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -50,7 +50,7 @@ def test_clean_names_and_collision(spark):
 
 def test_infer_policies(spark, tmp_path):
     p = tmp_path / "s.csv"
-    p.write_text("id,name,value,timestamp,flag,n\n1,Alice,10.5,2023-01-01,true,\n2,Bob,20.0,2023-01-02,false,5\n")
+    p.write_text("id,name,value,timestamp,flag,n\n7,oak,3.25,2021-05-06,true,\n8,elm,4.0,2021-05-07,false,12\n")
     df = files.read_csv_typed(spark, str(p))
     def types(policy):
         return [r["data_type"] for r in schema.infer_ddl(df, policy).orderBy("ordinal").collect()]
@@ -124,3 +124,11 @@ def test_load_csv_to_table_with_rejects(spark, tmp_path):
                                   reject_table="loaded_rejects")
     assert rep.first()["row_count"] == 1
     assert rows(spark.table("loaded_rejects")) == [("3000000000", "big", "1", "user_id")]
+
+
+def test_csv_hard_cells_round_trip(spark, tmp_path):
+    cells = ['a "quoted" word, then more', " padded ", "two\nlines", '"', "", "plain"]
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(cells)], "id string, cell string")
+    files.write_csv(df, str(tmp_path / "out"))
+    back = files.read_csv_text(spark, str(tmp_path / "out"))
+    assert [r["cell"] for r in back.orderBy("id").collect()] == cells
