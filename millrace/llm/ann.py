@@ -44,9 +44,10 @@ class CollisionIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, *, projections: int = PROJECTIONS, share: float = SHARE, verify: float = VERIFY):
         self.ids, self.vectors = ids, vectors
         self.directions = np.random.default_rng(SEED).standard_normal((projections, vectors.shape[1]))
-        shadows = vectors @ self.directions.T
-        self.order = np.ascontiguousarray(np.argsort(shadows, axis=0, kind="stable").T.astype(np.int32))
-        shadows = np.sort(shadows, axis=0).T
+        shadows = np.ascontiguousarray((vectors @ self.directions.T).T)
+        order = np.argsort(shadows, axis=1, kind="stable")
+        self.order = order.astype(np.int32)
+        shadows = np.take_along_axis(shadows, order, axis=1)
         # all arrays in one, each moved past the one before: a step is two searches
         self.shift = 4 * (1 + float(np.abs(shadows).max(initial=0.0))) * np.arange(projections)
         self.sorted = (shadows + self.shift[:, None]).ravel()
@@ -66,7 +67,7 @@ class CollisionIndex:
         low = np.searchsorted(self.sorted, at) - first
         high = low.copy()
         known = np.zeros(n, bool)
-        found: list[tuple[float, int]] = []
+        best, names = np.empty(0), np.empty(0, self.ids.dtype)
         width, enough = self.start, k + 1 + int(self.verify * n)
         while True:
             wide = min(width, reach)
@@ -82,12 +83,14 @@ class CollisionIndex:
             over = np.flatnonzero((counts >= self.threshold) & ~known)
             if len(over):
                 known[over] = True
-                gap = np.sqrt(((self.vectors[over] - query) ** 2).sum(axis=1))
-                found = sorted(found + [(d, i) for d, i in zip(gap.tolist(), self.ids[over].tolist(), strict=True) if i != query_id])
-                found = found[:k]
-            # half of all normal projections lie within 0.6745 of their scale, SHARE of them a little further
-            if len(found) == k and found[-1][0] < width / 2 or known.sum() >= enough or (low == 0).all() and (high == n).all():
-                return found
+                over = over[self.ids[over] != query_id]
+                gap = np.concatenate([best, np.sqrt(((self.vectors[over] - query) ** 2).sum(axis=1))])
+                name = np.concatenate([names, self.ids[over]])
+                first_k = np.lexsort((name, gap))[:k]
+                best, names = gap[first_k], name[first_k]
+            done = len(best) == k and best[-1] < width / 2
+            if done or known.sum() >= enough or (low == 0).all() and (high == n).all():
+                return list(zip(best.tolist(), names.tolist(), strict=True))
             width *= WIDEN
 
 
@@ -105,7 +108,7 @@ def _search(k: int, options: dict):
     def run(group: pa.Table) -> pa.Table:
         asked = np.array(group.column("asked").to_pylist(), bool)
         ids = group.column("vec_id").to_numpy()
-        vectors = np.array(group.column("v").to_pylist(), float).reshape(len(ids), -1)
+        vectors = np.asarray(group.column("v").combine_chunks().flatten()).reshape(len(ids), -1)
         order = np.argsort(ids[~asked], kind="stable")
         index = CollisionIndex(ids[~asked][order], vectors[~asked][order], **options)
         rows = [(q, i, d) for q, x in zip(ids[asked].tolist(), vectors[asked], strict=True) for d, i in index.nearest(q, x, k)] if len(order) else []
