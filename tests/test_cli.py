@@ -1,14 +1,14 @@
 """Command line flows, run in-process on the test session."""
 
 from millrace.__main__ import main
-from tests.test_merge import SAMPLE_CSV
+from tests.test_merge import PARTS_CSV
 
 
 def test_cli_merge_rows_and_compare(spark, tmp_path, capsys):
-    (tmp_path / "in.csv").write_text(SAMPLE_CSV)
+    (tmp_path / "in.csv").write_text(PARTS_CSV.replace("sku", "id"))
     assert main(["merge-rows", "--input", str(tmp_path / "in.csv"), "--output", str(tmp_path / "out")]) == 0
     back = spark.read.option("header", True).csv(str(tmp_path / "out")).orderBy("id")
-    assert [tuple(r) for r in back.collect()][2] == ("3", "jolly", "abc spain", "biking")
+    assert [tuple(r) for r in back.collect()][1] == ("k9", "washer", "B2", "zinc")
     a, b = tmp_path / "a", tmp_path / "b"
     a.mkdir()
     b.mkdir()
