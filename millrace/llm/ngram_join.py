@@ -26,7 +26,11 @@ How that becomes Spark jobs:
    (:func:`_least_shared`). Documents with one pivot form a family, cut into blocks;
    a query is routed to blocks and not to single documents, so rows grow with the
    number of blocks met. Nothing is dropped: the components are exact.
-5. A search runs :func:`divide_skip` on the inverted lists of one block of about
+5. Before whole sets move, the routed documents are screened by their
+   :func:`sketch`, about a thirtieth of the set: it bounds the overlap of a pair from
+   above, so only documents that cannot reach the needed overlap with any
+   document of their group go.
+6. A search runs :func:`divide_skip` on the inverted lists of one block of about
    ``BLOCK`` documents: short lists are merged by a heap, long ones probed by
    binary search.
 
@@ -42,6 +46,7 @@ result.
 from __future__ import annotations
 
 import heapq
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -94,6 +99,37 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-n * percent // 100)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles fall into each of 2^k >= n buckets (by the upper bits of the
+    hash), four bits a bucket, deflated; empty if a bucket holds more than 15."""
+    bits = max(1, (len(s) - 1).bit_length())
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    if counts.max(initial=0) > 15:
+        return b""
+    counts = counts.astype(np.uint8)
+    return zlib.compress((counts[::2] << 4 | counts[1::2]).tobytes(), 1)
+
+
+def buckets(packed: bytes) -> np.ndarray | None:
+    """The bucket counts of a sketch, None of an empty one."""
+    if not packed:
+        return None
+    pairs = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return np.stack([pairs >> 4, pairs & 15], axis=1).ravel()
+
+
+def most_shared(a: np.ndarray | None, b: np.ndarray | None) -> float:
+    """No less than the number of shingles that two sets share: equal shingles fall
+    into equal buckets. The finer counts are added up to the coarser ones."""
+    if a is None or b is None:
+        return np.inf
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):
+        b = b.reshape(len(a), -1).sum(axis=1)
+    return int(np.minimum(a, b).sum())
+
+
 def divide_skip(lists: list[list[int]], least: int, long_lists: int) -> dict[int, int]:
     """Ids that occur in at least ``least`` of the sorted ``lists``, with their counts.
 
@@ -130,7 +166,7 @@ def divide_skip(lists: list[list[int]], least: int, long_lists: int) -> dict[int
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its set size and digest; at the end of the task its frequent shingles."""
+    """Per document its set size, digest and sketch; at the end of the task its frequent shingles."""
     table = (np.empty(0, np.uint64), np.empty(0, np.int64))
     window: list[np.ndarray] = []
     held = 0
@@ -145,16 +181,17 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both, total = both[keep], total[keep]
         return both, total
 
-    def rows(ids, sizes, keys, found, counts) -> pa.RecordBatch:
+    def rows(ids, sizes, keys, sketches, found, counts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-             pa.array(found, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n", "key", "shingle", "times"])
+            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()),
+             pa.array(found, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n", "key", "sketch", "shingle", "times"])
 
     for batch in slices(batches):
         sets = [shingles(raw) for raw in raw_texts(batch)]
         k = batch.num_rows
         yield rows(batch.column("doc_id").to_pylist(), [len(x) for x in sets],
-                   [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], [None] * k, [None] * k)
+                   [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], [sketch(x) if len(x) else None for x in sets],
+                   [None] * k, [None] * k)
         window += sets
         held += sum(map(len, sets))
         if held > TASK_WINDOW:
@@ -164,7 +201,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keep = np.argsort(-table[1], kind="stable")[:TASK_LISTS]
     keep = keep[table[1][keep] >= TASK_LEAST]
     k = len(keep)
-    yield rows([None] * k, [None] * k, [None] * k, table[0][keep].view(np.int64), table[1][keep])
+    yield rows([None] * k, [None] * k, [None] * k, [None] * k, table[0][keep].view(np.int64), table[1][keep])
 
 
 def _short_lists(frequent, percent: int):
@@ -196,6 +233,32 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc", "set"])
 
 
+def _screen(percent: int):
+    """The documents of one group that can link with one of the other side."""
+
+    def run(group: pa.Table) -> pa.Table:
+        counts: dict[bytes, np.ndarray | None] = {}
+        asked, members = {}, {}
+        for doc, query, n, packed in zip(*(group.column(c).to_pylist() for c in ("doc", "query", "n", "sketch")), strict=True):
+            if packed not in counts:
+                counts[packed] = buckets(packed)
+            (asked if query else members)[doc, packed] = n
+        queries, found = set(), set()
+        for (q, mine), n in asked.items():
+            for (doc, packed), m in members.items():
+                if q == doc or min(n, m) * 100 < max(n, m) * percent or (q in queries and doc in found):
+                    continue
+                if most_shared(counts[mine], counts[packed]) * (100 + percent) >= (n + m) * percent:
+                    queries.add(q)
+                    found.add(doc)
+        kept = [(d, True) for d in queries] + [(d, False) for d in found]
+        place = [pa.array([group.column(c)[0].as_py()] * len(kept), group.schema.field(c).type) for c in ("family", "part", "copy")]
+        return pa.table([*place, pa.array([d for d, _ in kept], pa.int64()), pa.array([x for _, x in kept], pa.bool_())],
+                        names=["family", "part", "copy", "doc", "query"])
+
+    return run
+
+
 def _search(percent: int):
     """The queries of one group against its block of documents."""
 
@@ -227,20 +290,23 @@ def _search(percent: int):
     return run
 
 
-def _searched(routes: DataFrame, members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _searched(routes: DataFrame, members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The links ``a, b`` between queries and the documents of the blocks they are
     routed to (``family, part, doc``). A block that many queries reach is copied, so
-    no group holds more than about ``BLOCK`` of each. Only the documents that take
-    part are cut into shingles again."""
+    no group holds more than about ``BLOCK`` of each. Only the documents that the
+    sketches let pass are cut into shingles again."""
     spark = routes.sparkSession
     many = F.count(F.lit(1)).over(Window.partitionBy("family", "part"))
     dealt = written(routes.withColumn("copy", F.pmod(F.xxhash64("query"), F.ceil(many / BLOCK))), spark, "routes")
     blocks = dealt.select("family", "part", "copy").distinct().join(members, ["family", "part"])
-    rows = written(dealt.select("family", "part", "copy", F.col("query").alias("doc"), F.lit(True).alias("query")).unionByName(
+    routed = written(dealt.select("family", "part", "copy", F.col("query").alias("doc"), F.lit(True).alias("query")).unionByName(
         blocks.select("family", "part", "copy", "doc", F.lit(False).alias("query"))), spark, "routed")
+    group = ["family", "part", "copy"]
+    rows = written(routed.join(sketches, "doc").groupBy(*group).applyInArrow(
+        _screen(percent), routed.select(*group, "doc", "query").schema), spark, "screened")
     needed = written(rows.select(F.col("doc").alias("doc_id")).distinct(), spark, "needed")
     sets = texts.join(broadcast_if_small(needed), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary")
-    return rows.join(sets, "doc").groupBy("family", "part", "copy").applyInArrow(_search(percent), "a long, b long")
+    return rows.join(sets, "doc").groupBy(*group).applyInArrow(_search(percent), "a long, b long")
 
 
 def _least_shared(qn, low, high, percent: int):
@@ -262,7 +328,7 @@ def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id``."""
     spark = docs.sparkSession
     texts = doc_texts(docs)
-    profile = written(texts.mapInArrow(_profile, "doc_id long, n long, key binary, shingle long, times long"), spark, "profile")
+    profile = written(texts.mapInArrow(_profile, "doc_id long, n long, key binary, sketch binary, shingle long, times long"), spark, "profile")
     rows = profile.where("shingle is null").select("doc_id", "n", "key")
     frequent = profile.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
     top = frequent.orderBy(F.desc("times"), "shingle").limit(LONG_LISTS).toPandas()  # bounded
@@ -280,7 +346,8 @@ def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     listed = written(listed.select("shingle", "doc", "members"), spark, "short-lists")
     per = listed.groupBy("doc").agg(F.sum("members").alias("weight"), F.count(F.lit(1)).alias("k")).join(reps.select("doc", "n"), "doc")
     lists = written(listed.drop("members").join(per, "doc"), spark, "sized-lists")
-    links = _links(lists, rep_texts, percent)
+    sketches = profile.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("doc"), "n", "sketch")
+    links = _links(lists, rep_texts, sketches, percent)
     labels = connected(links)
 
     of_rep = reps.join(labels, F.col("doc") == F.col("node"), "left").select(
@@ -289,7 +356,7 @@ def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _links(lists: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between representatives that give the exact components."""
     spark = lists.sparkSession
     active = written(lists.select(F.col("doc").alias("doc_id")).distinct(), spark, "active")
@@ -319,7 +386,7 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         best = best.where("enough")
         routes = best.select(F.col("doc").alias("query"), F.col("pivot").alias("family"), F.lit(0).alias("part"))
         heads = best.select(F.col("pivot").alias("family"), F.lit(0).alias("part"), F.col("pivot").alias("doc")).distinct()
-        links = written(links.unionByName(_searched(routes, heads, texts, percent)), spark, "links")
+        links = written(links.unionByName(_searched(routes, heads, texts, sketches, percent)), spark, "links")
         labels = connected(links)
         labelled = lists.join(labels, F.col("doc") == F.col("node"), "left").select(
             "shingle", "doc", "weight", "k", "n", F.coalesce("component", "doc").alias("component"))
@@ -343,7 +410,7 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         (F.col("c") < F.col("top")) & _sizes_fit(F.col("low"), F.col("high"), F.col("qn"), percent) & (F.col("k") >= least))
     shared = shared.groupBy("query", "family", "part").agg(F.count(F.lit(1)).alias("shared"), F.first(least).alias("least"))
     routes = shared.where("shared >= least")
-    found = _searched(routes.select("query", "family", "part"), members.drop("n"), texts, percent)
+    found = _searched(routes.select("query", "family", "part"), members.drop("n"), texts, sketches, percent)
     return written(links.unionByName(found), spark, "links")
 
 

@@ -64,6 +64,21 @@ def test_divide_skip_counts_exactly():
         assert ngram_join.divide_skip(lists, least, least - 1) == {i: n for i, n in counts.items() if n >= least}
 
 
+def test_sketch_bounds_the_overlap_from_above():
+    r = np.random.default_rng(4)
+    pool = np.unique(r.integers(0, 1 << 64, 9000, dtype=np.uint64))
+    for n, m in ((1, 1), (1, 2), (30, 39), (700, 900), (1023, 1025), (5000, 6500)):
+        for _ in range(5):
+            a, b = (np.sort(r.choice(pool, k, replace=False)) for k in (n, m))
+            both = len(np.intersect1d(a, b))
+            x, y = (ngram_join.buckets(ngram_join.sketch(v)) for v in (a, b))
+            assert both <= ngram_join.most_shared(x, y) == ngram_join.most_shared(y, x) <= n
+            assert ngram_join.most_shared(x, x) == n
+    crowded = np.arange(40, dtype=np.uint64)  # all in one bucket: no bound, so nothing is screened out
+    assert ngram_join.sketch(crowded) == b""
+    assert ngram_join.most_shared(ngram_join.buckets(b""), x) == np.inf
+
+
 def test_exact_dedup(docs):
     groups = defaultdict(list)
     for x in docs.collect():
