@@ -29,6 +29,14 @@ def _read(spark, path: str, fmt: str):
     return spark.read.format(fmt).load(path)
 
 
+def _print(df, most: int = 1000) -> None:
+    """Print a result; of a longer one the first rows, and say how many there are."""
+    df.show(most, truncate=False)
+    n = df.count()
+    if n > most:
+        print(f"{most} of {n} rows are shown; --output writes all of them")
+
+
 def cmd_export(args) -> None:
     from .sources.export import export_chunks
     spark = _spark(args)
@@ -36,7 +44,8 @@ def cmd_export(args) -> None:
     run_date = args.run_date or _dt.date.today().isoformat()
     manifest = export_chunks(df, args.chunks, args.out, args.order_by, run_date, resume=args.resume,
                              naming=args.naming, default_if_nonpositive=args.default_chunks)
-    manifest.orderBy("file_name").show(args.chunks or 100, truncate=False)
+    planned = args.chunks if args.chunks > 0 else args.default_chunks
+    manifest.orderBy("file_name").show(planned, truncate=False)
 
 
 def cmd_merge_rows(args) -> None:
@@ -55,7 +64,7 @@ def cmd_run_sql(args) -> None:
     if result is not None and args.output:
         result.write.mode("overwrite").option("header", True).csv(args.output)
     elif result is not None:
-        result.show(20, truncate=False)
+        _print(result)
 
 
 def cmd_compare(args) -> None:
@@ -65,7 +74,7 @@ def cmd_compare(args) -> None:
     if args.output:
         report.orderBy("file_name").write.mode("overwrite").option("header", True).csv(args.output)
     else:
-        report.orderBy("file_name").show(1000, truncate=False)
+        _print(report.orderBy("file_name"))
 
 
 def cmd_count_files(args) -> None:

@@ -52,11 +52,16 @@ def presence_matrix(left: DataFrame, right: DataFrame, name_col: str = "file_nam
 def compare_datasets(left: DataFrame, right: DataFrame, name_col: str = "file_name",
                      text_col: str = "text") -> DataFrame:
     """``file_name, in_folder1, in_folder2, content_match``; ``content_match`` is
-    Y/N for names on both sides and N/A otherwise."""
+    Y/N for names on both sides and N/A otherwise.
+
+    A null text matches only a null text. Rows that share a name match when both
+    sides hold the same texts, in any order: each name is reduced, map-side first,
+    to its count, least and greatest fingerprint and a sum of hashes."""
     def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(F.col(name_col).alias("file_name"),
-                         content_fingerprint(F.col(text_col)).alias(tag)) \
-            .dropDuplicates(["file_name"])
+        prints = df.select(F.col(name_col).alias("file_name"),
+                           F.coalesce(content_fingerprint(F.col(text_col)).cast("string"), F.lit("")).alias("fp"))
+        return prints.groupBy("file_name").agg(F.struct(
+            F.count(F.lit(1)), F.min("fp"), F.max("fp"), F.sum(F.xxhash64("fp").cast("decimal(20,0)"))).alias(tag))
 
     both = side(left, "__fa").join(side(right, "__fb"), "file_name", "full_outer")
     in_a = F.col("__fa").isNotNull()

@@ -214,9 +214,12 @@ def layout_rows(layouts: DataFrame, id_col: str, columns_col: str = "columns") -
 def layout_list(layout: DataFrame, columns_col: str = "columns") -> list[str]:
     """Column list of a single layout document, for use as a schema.
 
-    A schema lives on the driver; this reads one row (one document)."""
-    row = layout.select(columns_col).first()
-    return list(row[0]) if row is not None and row[0] is not None else []
+    A schema lives on the driver; this reads one row (one document). Several
+    documents raise."""
+    found = layout.select(columns_col).take(2)
+    if len(found) > 1:
+        raise ValueError("more than one layout document")
+    return list(found[0][0]) if found and found[0][0] is not None else []
 
 
 def empty_from_layout(spark: SparkSession, columns: Sequence[str]) -> DataFrame:

@@ -139,7 +139,8 @@ def daily_backfill(spark: SparkSession, fact: DataFrame, dim: DataFrame, target_
     The high-water date is read from the target (``default_start`` when empty),
     the pending days are ``latest+1 .. today``, and the whole run is written at
     once with dynamic partition overwrite, so a re-run replaces the same
-    partitions and leaves the others alone. Returns the pending-day frame.
+    partitions and leaves the others alone. A reloaded day (``lookback_days``) that
+    has no rows left is emptied. Returns the pending-day frame.
     """
     latest = read_latest_loaded(spark, target_path, out_date_col, default_start)
     days = pending_days(latest, today, lookback_days=lookback_days)
@@ -152,4 +153,14 @@ def daily_backfill(spark: SparkSession, fact: DataFrame, dim: DataFrame, target_
     frame = backfill_frame(fact, dim, bounds["first"], bounds["last"],
                            out_date_col=out_date_col, **etl_args)
     overwrite_partitions(frame, target_path, [out_date_col])
+    if lookback_days > 0:  # only reloaded days can have rows in the target
+        filled = frame.select(F.col(out_date_col).alias("day")).distinct()
+        for row in run.join(filled, "day", "left_anti").collect():  # at most one row per day of the run
+            _drop_folder(spark, f"{target_path.rstrip('/')}/{out_date_col}={row['day'].isoformat()}")
     return run
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a partition folder, if there is one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

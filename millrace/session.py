@@ -80,12 +80,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session. If it is unset (tests on a
     laptop) a fresh local folder is created and registered; on a cluster the
-    setting is expected to point at a shared store (HDFS, object store).
+    setting must name a shared store (HDFS, object store): without it this raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not base and context is not None:
         base = context.getCheckpointDir()
+    if not base and (context is None or not context.master.startswith("local")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="millrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)

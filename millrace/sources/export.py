@@ -51,6 +51,8 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
     chunk, computed from the row count -- the export is not read back (use
     :func:`manifest` to verify what is on disk).
 
+    Chunks of the same run (same date, or ``part_N``) that the plan does not name,
+    left by an export into more chunks, raise before anything is written.
     ``n <= 0`` raises unless ``default_if_nonpositive`` is given (e.g. 15).
     ``only_chunks`` writes just those chunk numbers (a retry of a few chunks).
     ``naming="part"`` names chunks ``part_N.csv`` (no run date needed)."""
@@ -58,6 +60,8 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
                             default_if_nonpositive=default_if_nonpositive)
     day = as_date(run_date) if run_date is not None else F.lit(None).cast("date")
     chunked = chunked.withColumn(FILE_COL, chunk_file_name(day, F.col("__chunk"), naming=naming))
+    planned = planned_manifest(df, n, run_date, default_if_nonpositive, naming=naming)
+    _refuse_stale(planned, existing_chunks(df, out_dir), run_date, naming, out_dir)
     if only_chunks is not None:
         chunked = chunked.filter(F.col("__chunk").isin(list(only_chunks)))
     if resume:
@@ -71,7 +75,18 @@ def export_chunks(df: DataFrame, n: int, out_dir: str, order_by, run_date: str |
     out = chunked.sortWithinPartitions(FILE_COL, "__row").select(*df.columns, FILE_COL)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**CSV_TIME_OPTIONS)
      .option("header", header).partitionBy(FILE_COL).csv(out_dir))
-    return planned_manifest(df, n, run_date, default_if_nonpositive, naming=naming)
+    return planned
+
+
+def _refuse_stale(planned: DataFrame, present: DataFrame, run_date, naming: str, out_dir: str) -> None:
+    """Raise when ``present`` holds chunks of this run that ``planned`` does not name."""
+    one = present.sparkSession.range(1)
+    day = as_date(run_date) if run_date is not None else F.lit(None).cast("date")
+    stem = one.select(F.regexp_replace(chunk_file_name(day, F.lit(1), naming=naming), r"0*1\.csv$", "").alias("stem"))
+    of_run = present.join(F.broadcast(stem), F.col(FILE_COL).startswith(F.col("stem"))).drop("stem")
+    stale = of_run.join(planned, FILE_COL, "left_anti").orderBy(FILE_COL).first()
+    if stale is not None:
+        raise ValueError(f"{out_dir} holds {stale[0]} of an export into more chunks; remove it or choose another folder")
 
 
 def planned_manifest(df: DataFrame, n: int, run_date, default_if_nonpositive: int | None = None, *,

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, unique_name
 
 _VARCHAR = re.compile(r"^\s*(VAR)?CHAR\s*\(\s*\d+\s*\)\s*$", re.IGNORECASE)
 
@@ -160,15 +160,38 @@ class _session_conf:
             self.spark.conf.set(self.key, self.old)
 
 
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    """Provider, Location and the like of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote(table)}").where("col_name in ('Provider', 'Location')").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
 def overwrite_table(spark: SparkSession, df: DataFrame, table: str, *, fmt: str = "parquet",
                     location: str | None = None) -> str:
     """Replace a whole table with ``df``, even when ``df`` reads that table.
 
     Spark refuses to overwrite a path it is reading, so the rows go to a fresh
-    location first and the table is then pointed at it (a metadata swap); the
-    old files stay until the caller removes them. Returns the new location."""
-    new_location = location or scratch_path(spark, f"table-{table.replace('.', '_')}")
-    info = spark.catalog.getTable(table) if spark.catalog.tableExists(table) else None
+    location first (by default beside the old one) and the table is then pointed
+    at it (a metadata swap); the old files stay until the caller removes them. A
+    table that is neither Parquet nor ORC keeps its place: the rows are staged in
+    the shared folder and inserted, so its own format and options hold. ``fmt`` is
+    the format of a table that does not exist yet. Returns the table's location."""
+    info = _described(spark, table) if spark.catalog.tableExists(table) else None
+    if info is not None:
+        fmt = info["Provider"].lower()
+        if fmt not in ("parquet", "orc"):
+            if location is not None:
+                raise ValueError(f"a {fmt} table keeps its location")
+            staged = scratch_path(spark, f"table-{table.replace('.', '_')}")
+            df.write.parquet(staged)
+            rows = spark.read.schema(df.schema).parquet(staged).select(*spark.table(table).columns)
+            with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+                rows.write.insertInto(table, overwrite=True)
+            return info["Location"]
+        old = info["Location"].rstrip("/").split("__swap_")[0]
+        new_location = location or unique_name(f"{old}__swap")
+    else:
+        new_location = location or scratch_path(spark, f"table-{table.replace('.', '_')}")
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition] if info else []
     writer = df.write.mode("overwrite").format(fmt)
     if parts:

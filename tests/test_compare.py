@@ -64,3 +64,10 @@ def test_line_level_compare_with_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert by_line == rows(compare.compare_folders(spark, str(a), str(b)))
     assert [r[3] for r in by_line] == ["Y", "N", "Y", "N", "Y", "N"]
+
+
+def test_null_texts_and_repeated_names(spark):
+    left = spark.createDataFrame([("n", None), ("m", None), ("r", "a"), ("r", "b"), ("s", "a"), ("s", "a")], "file_name string, text string")
+    right = spark.createDataFrame([("n", None), ("m", "x"), ("r", "b"), ("r", "a"), ("s", "a")], "file_name string, text string")
+    got = compare.compare_datasets(left, right)
+    assert rows(got) == [("m", "Y", "Y", "N"), ("n", "Y", "Y", "Y"), ("r", "Y", "Y", "Y"), ("s", "Y", "Y", "N")]

@@ -60,3 +60,12 @@ def test_latest_date_default_and_pending(spark):
     days = daily.pending_days(latest, "2024-01-04")
     assert [r[0] for r in days.orderBy("day").collect()] == [dt.date(2024, 1, d) for d in (2, 3, 4)]
     assert daily.pending_days(latest, "2023-12-01").count() == 0
+
+
+def test_lookback_empties_a_day_that_lost_its_rows(spark, tmp_path):
+    sales, products = _data(spark)
+    target = str(tmp_path / "emptied")
+    daily.daily_backfill(spark, sales, products, target, default_start="2023-12-31", today="2024-01-03", **ARGS)
+    left = sales.where("transaction_id != 'b'")
+    daily.daily_backfill(spark, left, products, target, default_start="2023-12-31", today="2024-01-03", lookback_days=2, **ARGS)
+    assert rows(spark.read.parquet(target), "transaction_id") == [("a",), ("e",)]

@@ -1,5 +1,6 @@
 """Chunked export: file names, planned vs written manifest, resume."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources import export
@@ -34,3 +35,17 @@ def test_rewriting_a_chunk_replaces_it(spark, tmp_path):
     export.export_chunks(df, 2, out, "k", "2024-01-01")
     export.export_chunks(df, 2, out, "k", "2024-01-01", only_chunks=[1])
     assert rows(export.manifest(df, out)) == [("20240101-01.csv", 5), ("20240101-02.csv", 5)]
+
+
+def test_chunks_of_a_longer_export_are_refused(spark, tmp_path):
+    df = spark.range(1, 11).withColumnRenamed("id", "k")
+    out = str(tmp_path / "shrink")
+    export.export_chunks(df, 5, out, "k", "2024-01-01")
+    export.export_chunks(df, 2, out, "k", "2024-01-02")  # another run in the same folder
+    with pytest.raises(ValueError, match="20240101-03.csv"):
+        export.export_chunks(df, 2, out, "k", "2024-01-01")
+    assert export.manifest(df, out).agg(F.sum("rows")).first()[0] == 20
+    parts = str(tmp_path / "parts")
+    export.export_chunks(df, 3, parts, "k", naming="part")
+    with pytest.raises(ValueError, match="part_3.csv"):
+        export.export_chunks(df, 2, parts, "k", naming="part", resume=True)

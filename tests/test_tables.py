@@ -65,3 +65,22 @@ def test_copy_day_and_like(spark, tmp_path):
     spark.sql(f"CREATE TABLE like_src USING parquet LOCATION '{src}'")
     tables.create_like(spark, "like_dst", "like_src", location=str(tmp_path / "like"))
     assert spark.table("like_dst").columns == ["a"] and spark.table("like_dst").count() == 0
+
+
+def test_overwrite_csv_table_keeps_format_and_place(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS selfie_csv")
+    spark.sql(f"CREATE TABLE selfie_csv (id INT, v STRING) USING csv OPTIONS (header 'true', sep ';') LOCATION '{tmp_path / 'c'}'")
+    spark.sql("INSERT INTO selfie_csv VALUES (1, 'a;b'), (2, 'c')")
+    where = tables.overwrite_table(spark, spark.table("selfie_csv").selectExpr("v", "id + 1 AS id"), "selfie_csv")
+    assert where.rstrip("/").endswith("/c")
+    assert rows(spark.table("selfie_csv")) == [(2, "a;b"), (3, "c")]
+
+
+def test_overwrite_table_stays_beside_its_old_place(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    spark.sql("DROP TABLE IF EXISTS beside")
+    spark.sql(f"CREATE TABLE beside USING parquet LOCATION '{tmp_path / 't'}'")
+    for _ in range(2):
+        where = tables.overwrite_table(spark, spark.table("beside").selectExpr("id + 1 AS id"), "beside")
+        assert where.rsplit("/", 1)[0].endswith(str(tmp_path)) and where.count("__swap") == 1
+    assert rows(spark.table("beside")) == [(2,), (3,), (4,)]
