@@ -311,7 +311,7 @@ def q_create_like(spark, sf_dir):
     tables.register_external(spark, src, path)
     clone = unique_name("customer_like")
     tables.create_like(spark, clone, src, location=scratch_path(spark, "customer_like"))
-    tables.load_table(c.filter(F.col("c_mktsegment") == "BUILDING"), clone)
+    tables.load_table(c, clone)
     return spark.table(clone)
 
 

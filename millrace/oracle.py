@@ -158,7 +158,7 @@ SELECT *, CAST(ts AS DATE) AS ingest_date FROM events
 WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
 """,
     "ddl_table": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
-    "create_like": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
+    "create_like": "SELECT * FROM customer",
     "load_overwrite": "SELECT * FROM nation WHERE n_regionkey = 1",
     "infer_ddl": """
 SELECT * FROM (VALUES (1, 'o_orderkey', 'BIGINT'), (2, 'o_custkey', 'BIGINT'), (3, 'o_orderstatus', 'STRING'),
