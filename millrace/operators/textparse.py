@@ -81,7 +81,7 @@ def parse_pipe_records(lines: DataFrame, line_col: str, target_columns: Sequence
     if id_col in target_columns and not numbered:
         if order_by is None:
             raise ValueError("order_by is required to number the records")
-        if order_by == FILE_ORDER:
+        if isinstance(order_by, str) and order_by == FILE_ORDER:
             lines = with_split_order_index(lines, ["__file", "__block"], "__pos", "__id")
         else:
             lines = with_row_index(lines, order_by, "__id").drop("__total")

@@ -132,14 +132,16 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
     that partition is replaced and ``df`` carries only the data columns; without
     it the partitions present in ``df`` are replaced (dynamic mode)."""
     if spec:
-        view = f"__overwrite_{abs(hash((table, tuple(spec.items())))) % 10**9}"
+        view = unique_name("__overwrite")
         df.createOrReplaceTempView(view)
         part = ", ".join(f"{quote(k)} = :p{i}" for i, k in enumerate(spec))
         args = {f"p{i}": v for i, v in enumerate(spec.values())}
         cols = ", ".join(quote(c) for c in df.columns)
-        spark.sql(f"INSERT OVERWRITE TABLE {quote(table)} PARTITION ({part}) SELECT {cols} FROM {view}",
-                  args=args)
-        spark.catalog.dropTempView(view)
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {quote(table)} PARTITION ({part}) SELECT {cols} FROM {view}",
+                      args=args)
+        finally:
+            spark.catalog.dropTempView(view)
     else:
         with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             df.write.insertInto(table, overwrite=True)
