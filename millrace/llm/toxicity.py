@@ -1,20 +1,21 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and word prefixes (for inflected or compounded forms). Those
-kept are the ones that tell the two labels apart among the examples; their
-document frequencies are counted over the whole corpus. The examples' vectors
-form an inverted index cut into blocks of ids with the largest weight of each
-term per block. A query adds those maxima up per block and scores blocks, best
-bound first, until no block can hold a nearer example: the ``NEAREST`` found are
-exact. They vote with the square of their cosine; a logistic curve fitted on
-leave-one-out votes of the examples turns the vote into a probability.
+Terms are words and word prefixes (for inflected or compounded forms). All terms
+of the labelled examples count, whatever label they speak for; their document
+frequencies are counted over the whole corpus. A batch of queries is compared
+with every example at once: by a matrix product in the terms most examples have,
+by inverted lists in the others. The sums are in single precision, so every
+example that could still be among the ``NEAREST`` by their largest error is
+computed again in double precision: the neighbours found are exact. They vote with
+the square of their cosine; a logistic curve fitted on leave-one-out votes of the
+examples turns the vote into a probability.
 
 Labels are learned from a bounded sample: at most ``MAX_PER_LABEL`` documents of
-each label (the first by a hash of the id), and at most ``MAX_TERMS`` terms, so
-vocabulary and index are bounded broadcasts.
+each label (the first by a hash of the id). Vocabulary and index are broadcast and
+grow with that sample only.
 
 Defined cases: null and empty texts, and texts without any known term, get the
-share of toxic examples among those without a known term; labels that are null,
+share of toxic examples among those without a term; labels that are null,
 held out or without a document are not learned from; without both labels every
 score is the share of toxic labels (0.0 without any); ties between neighbours go
 to the smaller doc_id; repeated rows score alike; an empty table gives an empty
@@ -24,12 +25,16 @@ result.
 from __future__ import annotations
 
 import math
-from collections import Counter
+import pickle
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +42,11 @@ from .common import doc_texts, held_out, slices, written
 from .quality import labelled_sample
 
 MAX_PER_LABEL = 5000
-MAX_TERMS = 4096
 NEAREST = 15
-BLOCK = 64
-FIRST_BLOCKS = 8
+BATCH = 64  # queries compared at once
+DENSE_TERMS = 1024  # terms of most examples, compared by a matrix product; decides the cost only
+MARGIN = 4e-4  # twice the largest error of a cosine summed in single precision
 PREFIXES = range(4, 9)
-LEAST_RATIO = 5.0  # how much likelier a term must be under the label it speaks for
-LEAST_Z = 2.3
-LEAST_SHARE = 0.01
 CACHE_WORDS = 400_000
 CUT = 0.5
 _STRIP = ".,;:!?\"'()[]{}<>*#&%$-_~…«»“”"
@@ -70,87 +72,137 @@ class Vocabulary(dict):
         self[word] = out
         return out
 
-    def counts(self, text: str) -> dict[int, int]:
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The known terms of a text in rising order, and how often each occurs."""
         if len(self) > CACHE_WORDS:
             self.clear()
-        found = [x for x in map(self.__getitem__, text.lower().split()) if x]
-        return Counter(t for x in found for t in x) if found else {}
+        found = chain.from_iterable(map(self.__getitem__, text.lower().split()))
+        return np.unique(np.fromiter(found, np.int32), return_counts=True)
 
 
 class BlockMaxIndex:
-    """Exact nearest examples by cosine over sparse vectors ``(terms, weights)``."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
-        self.n, self.block = len(vectors), block
-        self.n_blocks = -(-self.n // block)
-        rows = np.concatenate([np.full(len(t), i, np.int64) for i, (t, _) in enumerate(vectors)]) if vectors else np.empty(0, np.int64)
-        cols = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
-        vals = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        order = np.lexsort((rows, cols))
-        rows, cols, vals = rows[order], cols[order], vals[order]
-        ends = np.searchsorted(cols, np.arange(n_terms + 1))
-        self.ids, self.weights, self.blocks, self.maxima, self.homes = [], [], [], [], []
-        for t in range(n_terms):
-            i, w = rows[ends[t]:ends[t + 1]], vals[ends[t]:ends[t + 1]]
-            at, first = np.unique(i // block, return_index=True)
-            self.ids.append(i)
-            self.weights.append(w)
-            self.blocks.append(at)
-            self.maxima.append(np.maximum.reduceat(w, first) if len(w) else w)
-            self.homes.append(i // block)
+    """Exact nearest examples by cosine over sparse vectors ``(terms, weights)`` of
+    length 1 with no negative weight."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
+        ends = np.cumsum([0, *[len(t) for t, _ in vectors]])
+        self._hold(n_terms, ends, np.concatenate([np.empty(0, np.int32), *[t for t, _ in vectors]], dtype=np.int32),
+                   np.concatenate([np.empty(0), *[w for _, w in vectors]]))
+
+    @classmethod
+    def of(cls, n_terms: int, ends: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> BlockMaxIndex:
+        """The index of vectors laid end to end; nothing is copied."""
+        out = cls.__new__(cls)
+        out._hold(n_terms, ends, cols, vals)
+        return out
+
+    def _hold(self, n_terms: int, ends: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> None:
+        """The matrix and the inverted lists."""
+        self.n, self.ends, self.cols, self.vals = len(ends) - 1, ends, cols, vals
+        often = np.bincount(cols, minlength=n_terms)
+        dense = np.argsort(-often, kind="stable")[:DENSE_TERMS]
+        self.place = np.full(n_terms, -1, np.int32)
+        self.place[dense] = np.arange(len(dense))
+        self.matrix = np.zeros((len(dense), self.n), np.float32)
+        for i in range(self.n):
+            at = self.place[cols[ends[i]:ends[i + 1]]]
+            self.matrix[at[at >= 0], i] = vals[ends[i]:ends[i + 1]][at >= 0]
+        rest = np.flatnonzero(self.place[cols] < 0).astype(np.int32 if len(cols) < 1 << 31 else np.int64)
+        rest = rest[np.argsort(cols[rest], kind="stable")]
+        self.weights = vals[rest].astype(np.float32)
+        self.ids = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(ends))[rest]
+        often[dense] = 0
+        self.sizes, self.starts = often, np.cumsum(often) - often
+        self.query = np.zeros(n_terms)
+
+    def _exact(self, which: np.ndarray, weights: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Cosines with some examples, in double precision."""
+        self.query[which] = weights
+        out = np.array([self.query[self.cols[a:b]] @ self.vals[a:b] for a, b in zip(self.ends[of], self.ends[of + 1], strict=True)])
+        self.query[which] = 0
+        return np.round(out, 12)
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, skips: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """Per query the ``k`` examples of largest cosine (above 0), ties to the smaller number."""
+        out = []
+        for first in range(0, len(queries), BATCH):
+            batch = queries[first:first + BATCH]
+            left = np.zeros((len(batch), len(self.matrix)), np.float32)
+            for row, (which, weights) in zip(left, batch, strict=True):
+                at = self.place[which]
+                row[at[at >= 0]] = weights[at >= 0]
+            for i, (total, (which, weights)) in enumerate(zip(left @ self.matrix, batch, strict=True)):
+                sizes = self.sizes[which]
+                which_rest, weights_rest, sizes = which[sizes > 0], weights[sizes > 0], sizes[sizes > 0]
+                ends = np.cumsum(sizes)
+                if len(ends):
+                    at = np.arange(ends[-1]) + np.repeat(self.starts[which_rest] - ends + sizes, sizes)
+                    total = total + np.bincount(self.ids[at], np.repeat(weights_rest, sizes) * self.weights[at], self.n)
+                if skips is not None and 0 <= skips[first + i] < self.n:
+                    total[skips[first + i]] = 0
+                least = np.partition(total, self.n - k)[self.n - k] - MARGIN if self.n > k else 0
+                hits = np.flatnonzero((total > 0) & (total >= least))
+                exact = self._exact(which, weights, hits)
+                order = np.argsort(-exact, kind="stable")[:k]
+                out.append([(int(hits[j]), float(exact[j])) for j in order if exact[j] > 0])
+        return out
 
     def nearest(self, which: np.ndarray, weights: np.ndarray, k: int = NEAREST, skip: int = -1) -> list[tuple[int, float]]:
-        """The ``k`` examples of largest cosine (above 0), ties to the smaller number."""
-        bound = np.zeros(self.n_blocks)
-        for t, w in zip(which, weights, strict=True):
-            bound[self.blocks[t]] += w * self.maxima[t]
-        best: list[tuple[float, int]] = []
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        at, step = 0, FIRST_BLOCKS
-        while at < len(order):  # blocks by falling bound, a few at first, then all that may still matter
-            if len(best) == k:
-                order = order[:at + int(np.count_nonzero(bound[order[at:]] >= -best[-1][0] - 1e-12))]
-            batch = order[at:at + step]
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[batch] = True
-            total = np.zeros(self.n_blocks * self.block)
-            for t, w in zip(which, weights, strict=True):
-                here = chosen[self.homes[t]]
-                total[self.ids[t][here]] += w * self.weights[t][here]
-            total = np.round(total, 12)
-            if 0 <= skip < len(total):
-                total[skip] = 0
-            hits = np.flatnonzero(total)
-            hits = hits[np.argsort(-total[hits], kind="stable")[:k]]
-            best = sorted(best + [(-float(total[i]), int(i)) for i in hits])[:k]
-            at, step = at + len(batch), 4 * step
-        return [(i, -s) for s, i in best]
+        """:meth:`nearest_of` for one query."""
+        return self.nearest_of([(which, weights)], k, [skip])[0]
+
+
+class Examples:
+    """The labelled examples: their terms with document frequencies, and how often each
+    example holds which. Sent packed; vocabulary and index are made where they are used."""
+
+    def __init__(self, known: str, df: np.ndarray, n: int, ends: np.ndarray, cols: np.ndarray, times: np.ndarray, labels: np.ndarray, names: np.ndarray):
+        self.held = known, df, n, ends, cols, times, labels, names
+        self.labels, self.names = labels, names
+        self.words: Vocabulary | None = None
+
+    def __getstate__(self) -> bytes:
+        known, df, n, ends, cols, times, labels, names = self.held
+        return zlib.compress(pickle.dumps((known, df, n, ends, np.diff(cols, prepend=np.int32(0)), times, labels, names)), 1)
+
+    def __setstate__(self, packed: bytes) -> None:
+        known, df, n, ends, steps, times, labels, names = pickle.loads(zlib.decompress(packed))
+        self.__init__(known, df, n, ends, np.cumsum(steps, dtype=np.int32), times, labels, names)
+
+    def _build(self) -> None:
+        known, df, n, ends, cols, times, *_ = self.held
+        self.held = ()
+        self.idf = np.log((n + 1) / (df + 1)) + 1
+        self.words = Vocabulary(numbered(known))
+        vals = np.empty(len(cols))
+        for a, b in pairwise(ends):
+            vals[a:b] = self.vector(cols[a:b], times[a:b])[1]
+        self.index = BlockMaxIndex.of(len(df), ends, cols, vals)
+        self.place = {int(i): k for k, i in enumerate(self.names)}
+
+    def vector(self, which: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weight = (1 + np.log(times)) * self.idf[which]
+        return which, weight / (math.sqrt(float(weight @ weight)) or 1.0)
+
+    def votes(self, texts: list[str], ids: list[int] | None = None) -> Iterator[tuple[float | None, list[tuple[int, float]]]]:
+        """Per text the share of toxic votes, None without a neighbour, and the neighbours;
+        an example of the same id does not vote."""
+        if self.words is None:
+            self._build()
+        for first in range(0, len(texts), BATCH):
+            skips = [self.place.get(i, -1) for i in ids[first:first + BATCH]] if ids is not None else None
+            for near in self.index.nearest_of([self.vector(*self.words.counts(t)) for t in texts[first:first + BATCH]], skips=skips):
+                total = sum(c * c for _, c in near)
+                yield sum(c * c * self.labels[i] for i, c in near) / total if total else None, [(int(self.names[i]), c) for i, c in near]
 
 
 @dataclass
 class Judge:
-    """A fitted classifier: vocabulary, index and calibration (all bounded)."""
+    """A fitted classifier: examples (a broadcast, bounded by the sample) and calibration."""
 
-    known: dict[str, int]
-    idf: np.ndarray
-    index: BlockMaxIndex | None
-    labels: np.ndarray
-    names: np.ndarray
+    examples: Broadcast | None
     prior: float
     curve: tuple[float, float] = (0.0, 0.0)
-    words: Vocabulary | None = field(default=None, repr=False)
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        which = np.array(sorted(counts), np.int64)
-        weight = (1 + np.log(np.array([counts[t] for t in which], float))) * self.idf[which] if len(which) else np.empty(0)
-        norm = math.sqrt(float(weight @ weight)) if len(which) else 1.0
-        return which, weight / norm
-
-    def vote(self, which: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[float | None, list[tuple[int, float]]]:
-        near = self.index.nearest(which, weights, skip=skip) if self.index and len(which) else []
-        total = sum(c * c for _, c in near)
-        return (sum(c * c * self.labels[i] for i, c in near) / total if total else None), near
 
     def probability(self, vote: float | None) -> float:
         if vote is None:
@@ -158,57 +210,58 @@ class Judge:
         a, b = self.curve
         return 1 / (1 + math.exp(-(a * vote + b)))
 
-    def judge(self, text: str) -> tuple[float, list[tuple[int, float]]]:
-        if self.words is None:
-            self.words = Vocabulary(self.known)
-        vote, near = self.vote(*self.vector(self.words.counts(text)))
-        return self.probability(vote), [(int(self.names[i]), c) for i, c in near]
+    def judge(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float]]]]:
+        if self.examples is None:
+            return [(self.prior, []) for _ in texts]
+        return [(self.probability(vote), near) for vote, near in self.examples.value.votes(texts)]
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: in how many examples of each label a term occurs."""
-    toxic, clean = Counter(), Counter()
-    for batch in slices(batches):
-        for label, text in zip(batch.column("label").to_pylist(), batch.column("text"), strict=True):
-            found = {t for w in set(text.as_py().lower().split()) for t in terms(w)}
-            (toxic if label else clean).update(found)
-    every = list(toxic | clean)
-    yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), pa.array([toxic[t] for t in every], pa.int64()),
-                                      pa.array([clean[t] for t in every], pa.int64())], names=["term", "toxic", "clean"])
+def numbered(known: str) -> dict[str, int]:
+    """Terms, one a line, to their numbers."""
+    return {t: i for i, t in enumerate(known.split("\n"))} if known else {}
 
 
-def select_terms(counts: DataFrame, n_toxic: int, n_clean: int, most: int = MAX_TERMS) -> list[str]:
-    """Terms that speak for the toxic label, by the z-score of their log ratio."""
-    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    log_ratio = F.log(a / (n_toxic + 1)) - F.log(b / (n_clean + 1))
-    z = log_ratio / F.sqrt(1 / a + 1 / b)
-    least = max(3.0, LEAST_SHARE * n_toxic)
-    chosen = counts.withColumn("z", z).where((log_ratio >= math.log(LEAST_RATIO)) & (F.col("z") >= LEAST_Z) & (F.col("toxic") >= least))
-    return [r["term"] for r in chosen.orderBy(F.desc("z"), "term").limit(most).select("term").collect()]
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: the terms of its examples."""
+    found: set[str] = set()
+    for batch in slices(batches):
+        words = {w for text in batch.column("text") for w in text.as_py().lower().split()}
+        found.update(t for w in words for t in terms(w))
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["term"])
 
 
-def _frequencies(known: dict[str, int]):
+def _frequencies(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n, seen = Vocabulary(known), 0, Counter()
+        words, n = Vocabulary(numbered(shared.value)), 0
+        seen = np.zeros(len(words.known), np.int64)
         for batch in slices(batches):
             n += batch.num_rows
             for text in batch.column("text"):
-                seen.update(words.counts(text.as_py()).keys())
-        every = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *every], pa.int32()), pa.array([n, *[seen[t] for t in every]], pa.int64())],
+                seen[words.counts(text.as_py())[0]] += 1
+        every = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(every, -1), pa.int32()), pa.array(np.append(seen[every], n), pa.int64())],
                                          names=["term", "docs"])
 
     return run
 
 
-def _vectors(known: dict[str, int]):
+def _vectors(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(known)
+        words = Vocabulary(numbered(shared.value))
         for batch in slices(batches):
-            found = [sorted(words.counts(t.as_py()).items()) for t in batch.column("text")]
+            found = [words.counts(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([[t for t, _ in x] for x in found], pa.list_(pa.int32())),
-                 pa.array([[c for _, c in x] for x in found], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "times"])
+                [batch.column("doc_id"), batch.column("label"), pa.array([t for t, _ in found], pa.list_(pa.int32())),
+                 pa.array([c for _, c in found], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "times"])
+
+    return run
+
+
+def _own_votes(shared: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = shared.value.votes(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([v for v, _ in found], pa.float64())], names=["doc_id", "vote"])
 
     return run
 
@@ -235,41 +288,39 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: in
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if not sizes.get(0) or not sizes.get(1):
-        return Judge({}, np.empty(0), None, np.empty(0), np.empty(0), share)
-    counts = sample.dropDuplicates(["text"]).mapInArrow(_term_counts, "term string, toxic long, clean long")
-    counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    known = {t: i for i, t in enumerate(sorted(select_terms(counts, sizes[1], sizes[0])))}
-    seen = doc_texts(docs).select("text").mapInArrow(_frequencies(known), "term int, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
-    df = {r["term"]: r["docs"] for r in seen.collect()}  # one row per known term
-    n = df.get(-1, 0)
-    idf = np.array([math.log((n + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(known))])
-    rows = sample.mapInArrow(_vectors(known), "doc_id long, label int, terms array<int>, times array<int>").toPandas()  # bounded
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    out = Judge(known, idf, None, np.empty(0), np.empty(0), share)
+        return Judge(None, share)
+    found = sample.mapInArrow(_terms, "term string").distinct().toArrow()  # of the bounded sample
+    known = "\n".join(sorted(found.column("term").to_pylist()))
+    shared = spark.sparkContext.broadcast(known)
+    seen = doc_texts(docs).select("text").mapInArrow(_frequencies(shared), "term int, docs long")
+    seen = seen.groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()  # one row per known term
+    term, times = seen.column("term").to_numpy(), seen.column("docs").to_numpy()
+    df = np.zeros(found.num_rows, np.int64)
+    df[term[term >= 0]] = times[term >= 0]
+    rows = sample.mapInArrow(_vectors(shared), "doc_id long, label int, terms array<int>, times array<int>").toArrow()  # bounded
+    rows = rows.take(np.unique(rows.column("doc_id").to_numpy(), return_index=True)[1]).combine_chunks()
     # the sample's label shares are not the labels': weigh examples back
     true = {r["label"]: r["n"] for r in labels.where(~held_out(labels["doc_id"]) & labels[column].isin(0, 1)).groupBy(
         labels[column].cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    weight = np.array([true.get(y, 1) / sizes[y] for y in rows["label"]])
-    label = rows["label"].to_numpy(float)
-    empty = np.array([len(t) == 0 for t in rows["terms"]])
-    out.prior = float((weight * label * empty).sum() + 0.01) / float((weight * empty).sum() + 1.0)
-    vectors = [out.vector(dict(zip(t, c, strict=True))) for t, c in zip(rows["terms"][~empty], rows["times"][~empty], strict=True)]
-    out.index, out.labels = BlockMaxIndex(vectors, len(known)), label[~empty]
-    out.names = rows["doc_id"].to_numpy()[~empty]
-    votes = [out.vote(*v, skip=i)[0] for i, v in enumerate(vectors)]
-    held = np.array([v is not None for v in votes], bool)
-    out.curve = _curve(np.array([v for v in votes if v is not None], float), out.labels[held], weight[~empty][held])
-    return out
+    names, label = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy().astype(float)
+    weight = np.array([true.get(int(y), 1) / sizes[int(y)] for y in label])
+    ends = np.append(0, np.cumsum(pc.list_value_length(rows.column("terms")).to_numpy()))
+    empty = np.diff(ends) == 0
+    prior = float((weight * label * empty).sum() + 0.01) / float((weight * empty).sum() + 1.0)
+    cols, times = (pc.list_flatten(rows.column(c)).to_numpy() for c in ("terms", "times"))
+    kept = np.flatnonzero(~empty)
+    examples = spark.sparkContext.broadcast(Examples(known, df, int(seen.column("docs").to_numpy()[term < 0].sum()), np.append(0, ends[1:][kept]), cols, times, label[kept], names[kept]))
+    votes = sample.mapInArrow(_own_votes(examples), "doc_id long, vote double").where("vote is not null").toArrow()
+    own, first = np.unique(votes.column("doc_id").to_numpy(), return_index=True)
+    at = np.searchsorted(names, own)
+    return Judge(examples, prior, _curve(votes.column("vote").to_numpy()[first], label[at], weight[at]))
 
 
 def score(docs: DataFrame, judge: Judge) -> DataFrame:
     """Per document: ``doc_id, score, neighbours, similarities`` (the evidence)."""
-    shared = docs.sparkSession.sparkContext.broadcast(judge)  # bounded by its parameters
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = shared.value
         for batch in slices(batches):
-            found = [judge.judge(t.as_py()) for t in batch.column("text")]
+            found = judge.judge(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()),
                  pa.array([[i for i, _ in near] for _, near in found], pa.list_(pa.int64())),
@@ -289,12 +340,11 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that score below the cut, with all their columns; texts are
     judged where they lie, nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
+    judge = train(docs, labels, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = shared.value
         for batch in slices(batches):
-            texts = batch.column("text")
-            yield batch.filter(pa.array([judge.judge(t.as_py() or "")[0] < CUT for t in texts], pa.bool_()))
+            found = judge.judge([t or "" for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array([p < CUT for p, _ in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -240,6 +240,28 @@ def test_block_max_index_is_exact():
         assert [j for j, _ in index.nearest(*vectors[i], skip=i)] == want
 
 
+def test_toxic_neighbours_rest_on_all_terms(spark):
+    workers_find_package(spark)
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choices(WORDS, k=12))) for i in range(60)] + [(60, "Rare insult"), (61, "rare insult"), (62, "unheard of")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = [i for i in range(61) if zlib.crc32(str(i).encode()) % 5]
+    assert 60 in learned
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in learned], "doc_id long, toxic int")
+    counts = {i: Counter(t for w in text.lower().split() for t in toxicity.terms(w)) for i, text in rows}
+    known = set().union(*(counts[i] for i in learned))
+    df = Counter(t for c in counts.values() for t in c if t in known)
+    weights = {i: {t: (1 + np.log(n)) * (np.log(64 / (df[t] + 1)) + 1) for t, n in c.items() if t in known} for i, c in counts.items()}
+    norms = {i: np.sqrt(sum(x * x for x in w.values())) for i, w in weights.items()}
+    got = {x["doc_id"]: dict(zip(x["neighbours"], x["similarities"])) for x in toxicity.classify(docs, marks).collect()}
+    assert got[61] == {60: pytest.approx(1)} and got[62] == {}
+    for i, near in got.items():
+        cos = {j: sum(x * weights[j].get(t, 0) for t, x in weights[i].items()) / norms[i] / norms[j] for j in learned if norms[i]}
+        want = sorted((c for c in cos.values() if c > 0), reverse=True)[:toxicity.NEAREST]
+        assert sorted(near.values(), reverse=True) == pytest.approx(want)
+        assert all(c == pytest.approx(cos[j]) for j, c in near.items())
+
+
 def test_empty_tables(spark):
     workers_find_package(spark)
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
