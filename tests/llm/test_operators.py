@@ -203,6 +203,13 @@ def test_pii_base_spans_match_the_patterns():
     assert pii.redact(text, pii.base_spans(text)) == "card <card>, call <phone>."
 
 
+def test_pii_candidates_of_spelled_addresses_without_a_dot_word():
+    for at in ("@", "(at)", "[AT]", "{at}", " at ", " [at] ", " (At) "):
+        text = f"Please write john.smith{at}example.com, thanks"
+        assert (13, 0, text.index(",")) in {(a, k, b) for a, k, b in pii.candidates(text)}
+    assert pii.candidates("that hat is flat. attend") == []
+
+
 def test_classifiers_learn(spark):
     workers_find_package(spark)
     r = random.Random(4)
