@@ -82,7 +82,7 @@ def shingles(raw: bytes, words: int = WORDS) -> np.ndarray:
     tokens = raw.lower().split()
     if not tokens:
         return np.empty(0, np.uint64)
-    if len(tokens) <= words:
+    if len(tokens) < words:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(tokens))], np.uint64)
     digest = xxhash.xxh3_64_intdigest
     ids = np.array([digest(t) for t in tokens], np.uint64)

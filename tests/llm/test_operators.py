@@ -55,6 +55,15 @@ def test_components_match_all_pairs(docs):
     assert got == {i: (len(sets[i]), top(i)) for i in sets}
 
 
+def test_five_words_link_with_longer_texts_of_the_same_shingle(spark):
+    texts = ["a a a a a", "a a a a a a", "A a a a a a a a", "a b c d e", "a b c d e a b c d", "a a a a"]
+    sets = _sets({"doc_id": i, "text": t} for i, t in enumerate(texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.components(docs).collect()}
+    assert got == {i: (len(s), min(j for j, z in sets.items() if 100 * len(s & z) >= 75 * len(s | z))) for i, s in sets.items()}
+    assert got[1] == got[2] == (1, 0)
+
+
 def test_divide_skip_counts_exactly():
     r = random.Random(2)
     for _ in range(200):
