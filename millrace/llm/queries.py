@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, toxicity
+from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, runs, toxicity
 from .common import table, written
 
 
@@ -72,6 +72,11 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def q_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and its words without the repeats."""
+    return runs.detect(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": q_quality,
     "op2_ngram_jaccard": q_ngram_join,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_events": q_chat,
     "op9_token_codes": q_token_codes,
     "op10_packing": q_packing,
+    "op11_sync_runs": q_runs,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
