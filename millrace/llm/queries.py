@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, runs, toxicity
+from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, runs, toxicity, whitening
 from .common import table, written
 
 
@@ -77,6 +77,11 @@ def q_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.detect(table(spark, sf_dir, "documents"))
 
 
+def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding, fitted on each distinct vector once."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).drop("eigenvalue")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": q_quality,
     "op2_ngram_jaccard": q_ngram_join,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_codes": q_token_codes,
     "op10_packing": q_packing,
     "op11_sync_runs": q_runs,
+    "op12_cholesky_whitening": q_whitening,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
