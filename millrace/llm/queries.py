@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, runs, toxicity, whitening
+from . import ann, chat, dac, exact_dedup, mixing, ngram_join, packing, pii, quality, robust, runs, toxicity, whitening
 from .common import table, written
 
 
@@ -82,6 +82,11 @@ def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings")).drop("eigenvalue")
 
 
+def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and rules of every document, and the robust outliers per language and source."""
+    return robust.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": q_quality,
     "op2_ngram_jaccard": q_ngram_join,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": q_packing,
     "op11_sync_runs": q_runs,
     "op12_cholesky_whitening": q_whitening,
+    "op13_robust_outliers": q_quality_rules,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
