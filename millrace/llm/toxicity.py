@@ -1,22 +1,32 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and word prefixes (for inflected or compounded forms). All terms
-of the labelled examples count, whatever label they speak for; their document
-frequencies are counted over the whole corpus. A batch of queries is compared
-with every example at once: by a matrix product in the terms most examples have,
-by inverted lists in the others. The sums are in single precision, so every
-example that could still be among the ``NEAREST`` by their largest error is
-computed again in double precision: the neighbours found are exact. They vote with
-the square of their cosine; a logistic curve fitted on leave-one-out votes of the
-examples turns the vote into a probability.
+Terms are words and, for longer words, their first five letters (so inflected and
+compounded forms meet). All terms of the labelled examples count. A term weighs
+its sublinear frequency times its inverse document frequency among the examples,
+times one plus its contrast: by how many standard errors its shares of toxic and
+other examples differ. No term is cut; the contrast decides how near texts are that
+share it. A query's length takes all its terms in, known or not.
+
+The index is block-max: examples lie in blocks of ``BLOCK``, alike ones together;
+frequent terms keep the largest weight they have in each block. A query's terms
+bound the cosines of a whole block from above. The blocks of the highest bounds
+are evaluated first, then those whose bound reaches the ``NEAREST``-th cosine found
+there; the others are never read. These sums are in single precision, so every
+example that could still be a neighbour by their largest error is computed again
+in double precision: the neighbours found are exact.
+
+Neighbours vote with the square of their cosine; a logistic curve fitted on
+leave-one-out votes of the examples turns the vote into a probability.
 
 Labels are learned from a bounded sample: at most ``MAX_PER_LABEL`` documents of
-each label (the first by a hash of the id). Vocabulary and index are broadcast and
-grow with that sample only.
+each label (the first by a hash of the id), and of these no more than hold
+``SAMPLE_BYTES`` of text. Vocabulary and index are broadcast and grow with that
+sample only.
 
 Defined cases: null and empty texts, and texts without any known term, get the
 share of toxic examples among those without a term; labels that are null,
-held out or without a document are not learned from; without both labels every
+held out or without a document are not learned from; of conflicting labels of one
+doc_id the majority counts, ties as 0; without both labels every
 score is the share of toxic labels (0.0 without any); ties between neighbours go
 to the smaller doc_id; repeated rows score alike; an empty table gives an empty
 result.
@@ -29,122 +39,172 @@ import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, pairwise
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import doc_texts, held_out, slices, written
 from .quality import labelled_sample
 
 MAX_PER_LABEL = 5000
+SAMPLE_BYTES = 256 << 20
 NEAREST = 15
+BLOCK = 64  # examples per block
 BATCH = 64  # queries compared at once
-DENSE_TERMS = 1024  # terms of most examples, compared by a matrix product; decides the cost only
-MARGIN = 4e-4  # twice the largest error of a cosine summed in single precision
-PREFIXES = range(4, 9)
+LONG_LISTS = 256  # terms whose lists are cut into blocks; decides the cost only
+FIRST = 4  # blocks evaluated before the bounds are compared with what was found
+MARGIN = 4e-4  # more than twice the relative error of a sum of weights (none is negative) in single precision
+STEM = 5
 CACHE_WORDS = 400_000
 CUT = 0.5
 _STRIP = ".,;:!?\"'()[]{}<>*#&%$-_~…«»“”"
 
 
 def terms(word: str) -> list[str]:
-    """The terms of one word: itself (up to 40 characters) and its prefixes, marked by ``*``."""
+    """The terms of one word: itself (up to 40 characters) and its stem, marked by ``*``."""
     word = word.strip(_STRIP)
     if not word:
         return []
-    return [word[:40], *[word[:k] + "*" for k in PREFIXES if len(word) >= k]]
+    return [word[:40], word[:STEM] + "*"] if len(word) > STEM else [word]
 
 
 class Vocabulary(dict):
-    """Words to the numbers of their known terms; as a dict, a bounded cache."""
+    """Words to the numbers of their terms; as a dict, a bounded cache. Terms that the
+    examples lack get numbers beyond the known ones."""
 
     def __init__(self, known: dict[str, int]):
         super().__init__()
-        self.known = known
+        self.known, self.other = known, {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        out = tuple(self.known[t] for t in terms(word) if t in self.known)
+        out = tuple(self.known[t] if t in self.known else self.other.setdefault(t, len(self.known) + len(self.other)) for t in terms(word))
         self[word] = out
         return out
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The known terms of a text in rising order, and how often each occurs."""
+        """The terms of a text in rising order, and how often each occurs."""
         if len(self) > CACHE_WORDS:
             self.clear()
+            self.other.clear()
         found = chain.from_iterable(map(self.__getitem__, text.lower().split()))
         return np.unique(np.fromiter(found, np.int32), return_counts=True)
 
 
-class BlockMaxIndex:
-    """Exact nearest examples by cosine over sparse vectors ``(terms, weights)`` of
-    length 1 with no negative weight."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        ends = np.cumsum([0, *[len(t) for t, _ in vectors]])
-        self._hold(n_terms, ends, np.concatenate([np.empty(0, np.int32), *[t for t, _ in vectors]], dtype=np.int32),
-                   np.concatenate([np.empty(0), *[w for _, w in vectors]]))
-
-    @classmethod
-    def of(cls, n_terms: int, ends: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> BlockMaxIndex:
-        """The index of vectors laid end to end; nothing is copied."""
-        out = cls.__new__(cls)
-        out._hold(n_terms, ends, cols, vals)
-        return out
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + size`` of all spans, end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def alike(vectors: np.ndarray) -> np.ndarray:
+    """An order of the rows in which neighbours are alike: halves along the direction of
+    largest spread, down to blocks."""
+    out, todo = [], [np.arange(len(vectors))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= BLOCK:
+            out.append(rows)
+            continue
+        x = vectors[rows] - vectors[rows].mean(axis=0)
+        along = x @ np.linalg.eigh(x.T @ x)[1][:, -1]
+        rows = rows[np.argsort(along, kind="stable")]
+        half = -(-len(rows) // (2 * BLOCK)) * BLOCK
+        todo += [rows[half:], rows[:half]]
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
 
-    def _hold(self, n_terms: int, ends: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> None:
-        """The matrix and the inverted lists."""
-        self.n, self.ends, self.cols, self.vals = len(ends) - 1, ends, cols, vals
+class BlockMaxIndex:
+    """Exact nearest examples by cosine over sparse vectors of length 1 with no negative
+    weight, laid end to end: example i holds terms ``cols[ends[i]:ends[i + 1]]``.
+
+    Long lists (those of the ``LONG_LISTS`` most frequent terms) are cut into blocks, with
+    the largest weight of each; short lists are read as they are. A block's bound is
+    the sum of its long lists' maxima plus the largest sum that the short lists bring to
+    one of its examples."""
+
+    def __init__(self, n_terms: int, ends: np.ndarray, cols: np.ndarray, vals: np.ndarray):
+        self.n = n = len(ends) - 1
+        self.ends, self.cols, self.vals = ends, cols, vals
+        owner = np.repeat(np.arange(n), np.diff(ends))
+        sketch = np.zeros((n, 64))  # terms dealt to 64 signed places: enough to tell what is alike
+        deal = np.random.default_rng(1).integers(0, 128, n_terms)
+        np.add.at(sketch, (owner, deal[cols] >> 1), vals * (1 - 2.0 * (deal[cols] & 1)))
+        self.order = alike(sketch)  # place -> example
+        self.blocks = -(-n // BLOCK)
+        self.place = np.empty(n, np.int32)
+        self.place[self.order] = np.arange(n)
         often = np.bincount(cols, minlength=n_terms)
-        dense = np.argsort(-often, kind="stable")[:DENSE_TERMS]
-        self.place = np.full(n_terms, -1, np.int32)
-        self.place[dense] = np.arange(len(dense))
-        self.matrix = np.zeros((len(dense), self.n), np.float32)
-        for i in range(self.n):
-            at = self.place[cols[ends[i]:ends[i + 1]]]
-            self.matrix[at[at >= 0], i] = vals[ends[i]:ends[i + 1]][at >= 0]
-        rest = np.flatnonzero(self.place[cols] < 0).astype(np.int32 if len(cols) < 1 << 31 else np.int64)
-        rest = rest[np.argsort(cols[rest], kind="stable")]
-        self.weights = vals[rest].astype(np.float32)
-        self.ids = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(ends))[rest]
-        often[dense] = 0
+        long = np.argsort(-often, kind="stable")[:LONG_LISTS]
+        self.lane = np.full(n_terms, -1, np.int32)
+        self.lane[long] = np.arange(len(long))
+        lane, at = self.lane[cols], self.place[owner]
+        self.lists = np.zeros((len(long), self.blocks * BLOCK), np.float32)
+        self.lists[lane[lane >= 0], at[lane >= 0]] = vals[lane >= 0]
+        self.most = self.lists.reshape(len(long), self.blocks, BLOCK).max(axis=2, initial=0)
+        short = np.flatnonzero(lane < 0)
+        short = short[np.argsort(cols[short], kind="stable")]
+        self.at, self.weights = at[short], vals[short].astype(np.float32)
+        often[long] = 0
         self.sizes, self.starts = often, np.cumsum(often) - often
         self.query = np.zeros(n_terms)
+        self.evaluated = self.asked = 0  # blocks read, and queries: what the bounds save
 
     def _exact(self, which: np.ndarray, weights: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Cosines with some examples, in double precision."""
         self.query[which] = weights
-        out = np.array([self.query[self.cols[a:b]] @ self.vals[a:b] for a, b in zip(self.ends[of], self.ends[of + 1], strict=True)])
+        sizes = self.ends[of + 1] - self.ends[of]
+        postings = spans(self.ends[of], sizes)
+        out = np.bincount(np.repeat(np.arange(len(of)), sizes), self.query[self.cols[postings]] * self.vals[postings], len(of))
         self.query[which] = 0
         return np.round(out, 12)
 
     def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, skips: list[int] | None = None) -> list[list[tuple[int, float]]]:
-        """Per query the ``k`` examples of largest cosine (above 0), ties to the smaller number."""
+        """Per query the ``k`` examples of largest cosine (above 0) but for one to skip, ties to the smaller number."""
+        return [x for first in range(0, len(queries), BATCH) for x in self._batch(
+            queries[first:first + BATCH], k, [-1] * len(queries) if skips is None else skips[first:first + BATCH])]
+
+    def _batch(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skips: list[int]) -> list[list[tuple[int, float]]]:
+        m, width = len(queries), self.blocks * BLOCK
+        left, short = np.zeros((m, len(self.lists)), np.float32), np.zeros((m, width), np.float32)
+        for i, (which, weights) in enumerate(queries):
+            lane = self.lane[which]
+            left[i, lane[lane >= 0]] = weights[lane >= 0]
+            few, weights = which[lane < 0], weights[lane < 0]
+            sizes = self.sizes[few]
+            postings = spans(self.starts[few], sizes)
+            short[i] = np.bincount(self.at[postings], np.repeat(weights, sizes) * self.weights[postings], width)
+        bound = left @ self.most + short.reshape(m, self.blocks, BLOCK).max(axis=2, initial=0)
+        score = np.full((m, width), -1, np.float32)
+        first = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
+        need = np.zeros((m, self.blocks), bool)
+        np.put_along_axis(need, first, True, axis=1)
+        skipped = np.array(skips)
+        for turn in range(2):
+            for b in np.flatnonzero(need.any(axis=0)).tolist():
+                rows, here = np.flatnonzero(need[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                score[rows, here] = left[rows] @ self.lists[:, here] + short[rows, here]
+            score[skipped >= 0, self.place[skipped[skipped >= 0]]] = -1
+            self.evaluated += int(need.sum())
+            if not turn:  # all blocks whose bound reaches the k-th best of the first few
+                best = np.take_along_axis(score.reshape(m, self.blocks, BLOCK), first[:, :, None], axis=1).reshape(m, -1)
+                least = np.maximum(np.partition(best, -k, axis=1)[:, -k], 0) * (1 - MARGIN) if best.shape[1] >= k else np.zeros(m)
+                need = (bound > 0) & (bound * (1 + MARGIN) >= least[:, None]) & ~need
+        self.asked += m
         out = []
-        for first in range(0, len(queries), BATCH):
-            batch = queries[first:first + BATCH]
-            left = np.zeros((len(batch), len(self.matrix)), np.float32)
-            for row, (which, weights) in zip(left, batch, strict=True):
-                at = self.place[which]
-                row[at[at >= 0]] = weights[at >= 0]
-            for i, (total, (which, weights)) in enumerate(zip(left @ self.matrix, batch, strict=True)):
-                sizes = self.sizes[which]
-                which_rest, weights_rest, sizes = which[sizes > 0], weights[sizes > 0], sizes[sizes > 0]
-                ends = np.cumsum(sizes)
-                if len(ends):
-                    at = np.arange(ends[-1]) + np.repeat(self.starts[which_rest] - ends + sizes, sizes)
-                    total = total + np.bincount(self.ids[at], np.repeat(weights_rest, sizes) * self.weights[at], self.n)
-                if skips is not None and 0 <= skips[first + i] < self.n:
-                    total[skips[first + i]] = 0
-                least = np.partition(total, self.n - k)[self.n - k] - MARGIN if self.n > k else 0
-                hits = np.flatnonzero((total > 0) & (total >= least))
-                exact = self._exact(which, weights, hits)
-                order = np.argsort(-exact, kind="stable")[:k]
-                out.append([(int(hits[j]), float(exact[j])) for j in order if exact[j] > 0])
+        for i, (which, weights) in enumerate(queries):
+            hits = np.flatnonzero((score[i] > 0) & (score[i] >= least[i]))
+            if len(hits) > k:
+                near = score[i, hits]
+                hits = hits[near >= np.partition(near, -k)[-k] * (1 - MARGIN)]
+            hits = self.order[hits]
+            cosines = self._exact(which, weights, hits)
+            best = np.lexsort((hits, -cosines))[:k]
+            out.append([(int(hits[j]), float(cosines[j])) for j in best if cosines[j] > 0])
         return out
 
     def nearest(self, which: np.ndarray, weights: np.ndarray, k: int = NEAREST, skip: int = -1) -> list[tuple[int, float]]:
@@ -153,47 +213,65 @@ class BlockMaxIndex:
 
 
 class Examples:
-    """The labelled examples: their terms with document frequencies, and how often each
-    example holds which. Sent packed; vocabulary and index are made where they are used."""
+    """The labelled examples: their terms, and how often each example holds which. Sent
+    packed; vocabulary and index are made where they are used."""
 
-    def __init__(self, known: str, df: np.ndarray, n: int, ends: np.ndarray, cols: np.ndarray, times: np.ndarray, labels: np.ndarray, names: np.ndarray):
-        self.held = known, df, n, ends, cols, times, labels, names
+    def __init__(self, known: str, ends: np.ndarray, cols: np.ndarray, times: np.ndarray, labels: np.ndarray, names: np.ndarray):
+        self.held = known, ends, cols, times, labels, names
         self.labels, self.names = labels, names
         self.words: Vocabulary | None = None
 
     def __getstate__(self) -> bytes:
-        known, df, n, ends, cols, times, labels, names = self.held
-        return zlib.compress(pickle.dumps((known, df, n, ends, np.diff(cols, prepend=np.int32(0)), times, labels, names)), 1)
+        known, ends, cols, times, labels, names = self.held
+        return zlib.compress(pickle.dumps((known, ends, np.diff(cols, prepend=np.int32(0)), times, labels, names)), 1)
 
     def __setstate__(self, packed: bytes) -> None:
-        known, df, n, ends, steps, times, labels, names = pickle.loads(zlib.decompress(packed))
-        self.__init__(known, df, n, ends, np.cumsum(steps, dtype=np.int32), times, labels, names)
+        known, ends, steps, times, labels, names = pickle.loads(zlib.decompress(packed))
+        self.__init__(known, ends, np.cumsum(steps, dtype=np.int32), times, labels, names)
 
-    def _build(self) -> None:
-        known, df, n, ends, cols, times, *_ = self.held
+    def build(self) -> None:
+        if self.words is not None:
+            return
+        known, ends, cols, times, labels, names = self.held
         self.held = ()
-        self.idf = np.log((n + 1) / (df + 1)) + 1
-        self.words = Vocabulary(numbered(known))
-        vals = np.empty(len(cols))
-        for a, b in pairwise(ends):
-            vals[a:b] = self.vector(cols[a:b], times[a:b])[1]
-        self.index = BlockMaxIndex.of(len(df), ends, cols, vals)
-        self.place = {int(i): k for k, i in enumerate(self.names)}
-
-    def vector(self, which: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weight = (1 + np.log(times)) * self.idf[which]
-        return which, weight / (math.sqrt(float(weight @ weight)) or 1.0)
+        numbers = numbered(known)
+        self.weights = term_weights(len(numbers), ends, cols, labels)
+        vals = (1 + np.log(times)) * self.weights[cols]
+        owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        vals /= np.sqrt(np.bincount(owner, vals * vals, len(ends) - 1))[owner]
+        self.index = BlockMaxIndex(len(numbers), ends, cols, vals)
+        self.place = {int(i): k for k, i in enumerate(names)}
+        self.words = Vocabulary(numbers)
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The known terms of a text and their weights; the length is that of all its terms."""
+        which, times = self.words.counts(text)
+        known = int(np.searchsorted(which, len(self.weights) - 1))  # the last weight is that of unknown terms
+        weight = (1 + np.log(times)) * self.weights[np.minimum(which, len(self.weights) - 1)]
+        return which[:known], weight[:known] / (math.sqrt(float(weight @ weight)) or 1.0)
 
     def votes(self, texts: list[str], ids: list[int] | None = None) -> Iterator[tuple[float | None, list[tuple[int, float]]]]:
         """Per text the share of toxic votes, None without a neighbour, and the neighbours;
         an example of the same id does not vote."""
-        if self.words is None:
-            self._build()
+        self.build()
         for first in range(0, len(texts), BATCH):
             skips = [self.place.get(i, -1) for i in ids[first:first + BATCH]] if ids is not None else None
-            for near in self.index.nearest_of([self.vector(*self.words.counts(t)) for t in texts[first:first + BATCH]], skips=skips):
+            for near in self.index.nearest_of([self.vector(t) for t in texts[first:first + BATCH]], skips=skips):
                 total = sum(c * c for _, c in near)
-                yield sum(c * c * self.labels[i] for i, c in near) / total if total else None, [(int(self.names[i]), c) for i, c in near]
+                yield sum(c * c * self.labels[j] for j, c in near) / total if total else None, [(int(self.names[j]), c) for j, c in near]
+
+
+def term_weights(n_terms: int, ends: np.ndarray, cols: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Per term its inverse document frequency times one plus its contrast between the
+    labels; the last one is for terms that no example holds."""
+    n, toxic = len(ends) - 1, np.repeat(labels, np.diff(ends))
+    df = np.bincount(cols, minlength=n_terms + 1)
+    one = np.bincount(cols, toxic, n_terms + 1)
+    ones, others = max(labels.sum(), 1), max(n - labels.sum(), 1)
+    p, q = one / ones, (df - one) / others
+    pooled = (p + q) / 2
+    error = np.sqrt(np.maximum(pooled * (1 - pooled) * (1 / ones + 1 / others), 1e-12))
+    return (np.log((n + 1) / (df + 1)) + 1) * (1 + np.abs(p - q) / error)
 
 
 @dataclass
@@ -230,21 +308,6 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["term"])
 
 
-def _frequencies(shared: Broadcast):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n = Vocabulary(numbered(shared.value)), 0
-        seen = np.zeros(len(words.known), np.int64)
-        for batch in slices(batches):
-            n += batch.num_rows
-            for text in batch.column("text"):
-                seen[words.counts(text.as_py())[0]] += 1
-        every = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(every, -1), pa.int32()), pa.array(np.append(seen[every], n), pa.int64())],
-                                         names=["term", "docs"])
-
-    return run
-
-
 def _vectors(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(numbered(shared.value))
@@ -260,7 +323,7 @@ def _vectors(shared: Broadcast):
 def _own_votes(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = shared.value.votes(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist())
+            found = list(shared.value.votes(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([v for v, _ in found], pa.float64())], names=["doc_id", "vote"])
 
     return run
@@ -282,9 +345,19 @@ def _curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[
     return float(max(w[0], 0.1)), float(w[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: int = MAX_PER_LABEL) -> Judge:
+def _sampled(docs: DataFrame, labels: DataFrame, column: str, most: int, most_bytes: int) -> DataFrame:
+    """The labelled sample, cut (in the order of its hash) where its texts hold ``most_bytes``."""
     spark = docs.sparkSession
     sample = written(labelled_sample(docs, labels, column, most), spark, "examples")
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # at most 2 * most rows
+    sizes = sample.select("doc_id", F.octet_length("text").alias("bytes")).withColumn("bytes", F.sum("bytes").over(so_far))
+    beyond = [r["doc_id"] for r in sizes.where(F.col("bytes") > most_bytes).collect()]
+    return sample.where(~F.col("doc_id").isin(beyond)) if beyond else sample
+
+
+def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: int = MAX_PER_LABEL, most_bytes: int = SAMPLE_BYTES) -> Judge:
+    spark = docs.sparkSession
+    sample = _sampled(docs, labels, column, most, most_bytes)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if not sizes.get(0) or not sizes.get(1):
@@ -292,13 +365,9 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: in
     found = sample.mapInArrow(_terms, "term string").distinct().toArrow()  # of the bounded sample
     known = "\n".join(sorted(found.column("term").to_pylist()))
     shared = spark.sparkContext.broadcast(known)
-    seen = doc_texts(docs).select("text").mapInArrow(_frequencies(shared), "term int, docs long")
-    seen = seen.groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()  # one row per known term
-    term, times = seen.column("term").to_numpy(), seen.column("docs").to_numpy()
-    df = np.zeros(found.num_rows, np.int64)
-    df[term[term >= 0]] = times[term >= 0]
     rows = sample.mapInArrow(_vectors(shared), "doc_id long, label int, terms array<int>, times array<int>").toArrow()  # bounded
-    rows = rows.take(np.unique(rows.column("doc_id").to_numpy(), return_index=True)[1]).combine_chunks()
+    shared.destroy()
+    rows = rows.take(np.argsort(rows.column("doc_id").to_numpy(), kind="stable")).combine_chunks()
     # the sample's label shares are not the labels': weigh examples back
     true = {r["label"]: r["n"] for r in labels.where(~held_out(labels["doc_id"]) & labels[column].isin(0, 1)).groupBy(
         labels[column].cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -309,7 +378,7 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: in
     prior = float((weight * label * empty).sum() + 0.01) / float((weight * empty).sum() + 1.0)
     cols, times = (pc.list_flatten(rows.column(c)).to_numpy() for c in ("terms", "times"))
     kept = np.flatnonzero(~empty)
-    examples = spark.sparkContext.broadcast(Examples(known, df, int(seen.column("docs").to_numpy()[term < 0].sum()), np.append(0, ends[1:][kept]), cols, times, label[kept], names[kept]))
+    examples = spark.sparkContext.broadcast(Examples(known, np.append(0, ends[1:][kept]), cols, times, label[kept], names[kept]))
     votes = sample.mapInArrow(_own_votes(examples), "doc_id long, vote double").where("vote is not null").toArrow()
     own, first = np.unique(votes.column("doc_id").to_numpy(), return_index=True)
     at = np.searchsorted(names, own)

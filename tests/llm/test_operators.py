@@ -238,22 +238,28 @@ def test_classifiers_learn(spark):
         assert sum(got[i]["predicted"] == want[i] for i in held) >= 0.95 * len(held)
 
 
-def test_block_max_index_is_exact():
+def test_block_max_index_is_exact_and_skips_blocks():
     r = np.random.default_rng(3)
     vectors = []
-    for _ in range(500):
-        t = np.sort(r.choice(40, r.integers(1, 8), replace=False))
-        w = r.random(len(t))
+    for i in range(1500):  # ten topics with terms of their own, and a few light ones that all share
+        t = np.unique(np.concatenate([r.choice(30, r.integers(1, 8)) + 40 * (i % 10), 400 + r.choice(30, 2)]))
+        w = np.where(t < 400, r.random(len(t)), 0.1)
         vectors.append((t, w / np.linalg.norm(w)))
-    dense = np.zeros((500, 40))
+    vectors += vectors[:100]  # ties
+    n = len(vectors)
+    dense = np.zeros((n, 430))
     for i, (t, w) in enumerate(vectors):
         dense[i, t] = w
-    index = toxicity.BlockMaxIndex(vectors, 40)
-    for i in range(0, 500, 25):
+    ends = np.cumsum([0, *[len(t) for t, _ in vectors]])
+    index = toxicity.BlockMaxIndex(430, ends, np.concatenate([t for t, _ in vectors]).astype(np.int32), np.concatenate([w for _, w in vectors]))
+    for i in range(0, n, 25):
         cos = np.round(dense @ dense[i], 12)
         cos[i] = 0
-        want = [int(j) for j in np.lexsort((np.arange(500), -cos)) if cos[j] > 0][:15]
-        assert [j for j, _ in index.nearest(*vectors[i], skip=i)] == want
+        want = [int(j) for j in np.lexsort((np.arange(n), -cos)) if cos[j] > 0][:15]
+        got = index.nearest(*vectors[i], skip=i)
+        assert index.nearest_of([vectors[i], vectors[0]], skips=[i, 0])[0] == got
+        assert [j for j, _ in got] == want and [c for _, c in got] == pytest.approx(cos[want])
+    assert index.asked == 192 and index.evaluated < 0.7 * index.asked * index.blocks
 
 
 def test_toxic_neighbours_rest_on_all_terms(spark):
@@ -263,12 +269,20 @@ def test_toxic_neighbours_rest_on_all_terms(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     learned = [i for i in range(61) if zlib.crc32(str(i).encode()) % 5]
     assert 60 in learned
-    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in learned], "doc_id long, toxic int")
+    toxic = {i: int(i % 4 == 0) for i in learned}
+    marks = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
     counts = {i: Counter(t for w in text.lower().split() for t in toxicity.terms(w)) for i, text in rows}
-    known = set().union(*(counts[i] for i in learned))
-    df = Counter(t for c in counts.values() for t in c if t in known)
-    weights = {i: {t: (1 + np.log(n)) * (np.log(64 / (df[t] + 1)) + 1) for t, n in c.items() if t in known} for i, c in counts.items()}
-    norms = {i: np.sqrt(sum(x * x for x in w.values())) for i, w in weights.items()}
+    n, ones = len(learned), sum(toxic.values())
+
+    def weight(term, times):
+        p = sum(term in counts[i] for i in learned if toxic[i]) / ones
+        q = sum(term in counts[i] for i in learned if not toxic[i]) / (n - ones)
+        error = np.sqrt(max((p + q) / 2 * (1 - (p + q) / 2) * (1 / ones + 1 / (n - ones)), 1e-12))
+        df = sum(term in counts[i] for i in learned)
+        return (1 + np.log(times)) * (np.log((n + 1) / (df + 1)) + 1) * (1 + abs(p - q) / error)
+
+    weights = {i: {t: weight(t, k) for t, k in c.items()} for i, c in counts.items()}
+    norms = {i: np.sqrt(sum(x * x for x in w.values())) for i, w in weights.items()}  # of all terms, known or not
     got = {x["doc_id"]: dict(zip(x["neighbours"], x["similarities"])) for x in toxicity.classify(docs, marks).collect()}
     assert got[61] == {60: pytest.approx(1)} and got[62] == {}
     for i, near in got.items():
@@ -278,6 +292,16 @@ def test_toxic_neighbours_rest_on_all_terms(spark):
         assert all(c == pytest.approx(cos[j]) for j, c in near.items())
 
 
+def test_labelled_sample_is_one_row_per_document(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d"), (3, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (1, 1), (1, 0), (2, 1), (2, 0), (3, 1), (4, 1), (None, 1), (2, None)], "doc_id long, toxic int")
+    rows = {r["doc_id"]: (r["text"], r["label"]) for r in quality.labelled_sample(docs, marks, "toxic").collect()}
+    want = {1: ("a", 1), 2: ("c", 0), 3: ("", 1)}
+    assert rows == {i: x for i, x in want.items() if zlib.crc32(str(i).encode()) % 5}
+    few = toxicity._sampled(docs, marks, "toxic", 10, 1)
+    assert few.count() <= len(rows) and few.agg(F.sum(F.octet_length("text"))).first()[0] <= 1
+
+
 def test_empty_tables(spark):
     workers_find_package(spark)
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
