@@ -18,7 +18,8 @@ however large, is summed or numbered in one task.
 
 Defined cases: null text has size 0; a null source is a source of its own and
 comes last; documents of size 0 are never taken; rows that repeat a doc_id
-in a source are separate documents of the stream, what is taken of them is added up; an empty table gives an empty
+in a source are separate documents of the stream, what is taken of them is added up (and cut, in
+:func:`repeated`, as if it were one document); an empty table gives an empty
 result; sources without words get target 0.
 """
 
@@ -159,14 +160,26 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), "source")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th word and the gap after it."""
+    pieces = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")  # each word with its gap
+    gap_first = F.regexp_like(text, F.lit(r"^[\x20\x09-\x0D]")).cast("int")  # a gap before the first word is a piece too
+    return F.array_join(F.slice(pieces, 1, n.cast("int") + gap_first), "")
+
+
 def repeated(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents: each row as often as its taken words hold it, to the
-    nearest whole number (0 drops it), with all its columns."""
+    """The mix as documents: each row as often as its taken words hold it whole, and once
+    more, cut after the words that remain, where they hold a part; with all its columns.
+    So each source brings exactly the words that the mix takes of it."""
     words = taken_words(docs, **options)
     times = words.groupBy("doc_id", "source").agg(F.first("taken").alias("taken"), F.sum("size").alias("size"))
-    times = times.where("size > 0").select(F.col("doc_id").alias("__of"), F.col("source").alias("__from"),
-                                           F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times"))
-    times = written(times.where("__times > 0"), docs.sparkSession, "mix-times")
+    times = times.where("taken > 0").select(F.col("doc_id").alias("__of"), F.col("source").alias("__from"), "taken", "size")
+    times = times.select("__of", "__from", F.floor(F.col("taken") / F.col("size")).cast("int").alias("__times"),
+                         (F.col("taken") % F.col("size")).alias("__rest"))
+    times = written(times, docs.sparkSession, "mix-times")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__of")) & docs["source"].cast("string").eqNullSafe(F.col("__from"))
     out = docs.join(broadcast_if_small(times), same)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+    whole = F.sequence(F.lit(1), F.col("__times") + (F.col("__rest") > 0).cast("int"))
+    out = out.withColumn("__copy", F.explode(whole))
+    text = F.when(F.col("__copy") > F.col("__times"), first_words(out["text"].cast("string"), F.col("__rest"))).otherwise(out["text"])
+    return out.withColumn("__text", text).select(*[F.col("__text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -38,9 +38,10 @@ Shingles are 64-bit hashes; sets are compared by them.
 
 Defined cases: null and empty texts, and texts without words, have 0 shingles
 and link with nothing (not even each other); fewer than five words are one
-shingle; repeated rows of a doc_id count as copies; rows with a null doc_id
-link with nothing and keep a null component; an empty table gives an empty
-result.
+shingle; rows that repeat a doc_id are documents of their own, each linked by its
+own text (inside, they go by ids above all others; ids must lie below 2**62);
+rows with a null doc_id link with nothing and keep a null component; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -326,6 +327,43 @@ def _sizes_fit(low, high, qn, percent: int):
 
 def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id``."""
+    one, many = _own_ids(docs)
+    if many is None:
+        return _components(docs, percent)
+    return _of_nodes(one, many, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _own_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose doc_id is theirs alone (or null), and the others, all their columns and a
+    ``__node`` of their own written down; None if there are no others."""
+    spark = docs.sparkSession
+    of = docs["doc_id"].cast("long")
+    ids = docs.where(of.isNotNull()).groupBy(of.alias("__twice")).agg(F.count(F.lit(1)).alias("__rows"))
+    twice = written(ids.where("__rows > 1").select("__twice"), spark, "repeated-ids")
+    if twice.isEmpty():
+        return docs, None
+    side = broadcast_if_small(twice)
+    above = docs.agg(F.max(of)).first()[0] + 1
+    many = docs.join(side, of == side["__twice"], "left_semi").withColumn("__node", F.monotonically_increasing_id() + above)
+    return docs.join(side, of == side["__twice"], "left_anti"), written(many, spark, "repeated-rows")
+
+
+def _of_nodes(one: DataFrame, many: DataFrame, percent: int) -> DataFrame:
+    """``node, doc_id, n_shingles, component_id`` and whether the row comes ``first`` in its component."""
+    spark = one.sparkSession
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    nodes = one.select(*columns).unionByName(many.select(F.col("__node").alias("doc_id"), columns[1]))
+    found = _components(nodes, percent).withColumnRenamed("doc_id", "node")
+    names = many.select(F.col("__node").alias("of"), columns[0])
+    found = found.join(broadcast_if_small(names), F.col("node") == F.col("of"), "left")
+    found = written(found.select("node", F.coalesce("doc_id", "node").alias("doc_id"), "n_shingles", F.col("component_id").alias("label")), spark, "nodes")
+    least = found.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    out = found.join(least, "label", "left")
+    return out.select("node", "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("least.node") == F.col("node")).alias("first"))
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
+    """:func:`components` of rows that do not repeat a doc_id."""
     spark = docs.sparkSession
     texts = doc_texts(docs)
     profile = written(texts.mapInArrow(_profile, "doc_id long, n long, key binary, sketch binary, shingle long, times long"), spark, "profile")
@@ -353,7 +391,8 @@ def components(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     of_rep = reps.join(labels, F.col("doc") == F.col("node"), "left").select(
         "key", F.coalesce("component", "doc").alias("component_id"))
     out = rows.join(of_rep, "key", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def _links(lists: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -415,9 +454,17 @@ def _links(lists: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int
 
 
 def keep_first(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with all its columns."""
+    """One document of each component, that of the smallest doc_id, with all its columns.
+    Rows that share a doc_id stay or go each by its own text; of equals one stays."""
     spark = docs.sparkSession
-    found = components(docs, percent=percent)
-    dropped = found.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    side = broadcast_if_small(written(dropped, spark, "near-copies"))
-    return docs.join(side, docs["doc_id"].cast("long") == side["__dropped"], "left_anti")
+    one, many = _own_ids(docs)
+    if many is None:
+        found = _components(docs, percent).select(F.col("doc_id").alias("node"), (F.col("doc_id") == F.col("component_id")).alias("first"))
+    else:
+        found = _of_nodes(one, many, percent)
+    dropped = written(found.where("not first").select(F.col("node").alias("__dropped")), spark, "near-copies")
+    side = broadcast_if_small(dropped)
+    kept = one.join(side, one["doc_id"].cast("long") == side["__dropped"], "left_anti")
+    if many is None:
+        return kept
+    return kept.unionByName(many.join(side, many["__node"] == side["__dropped"], "left_anti").drop("__node"))

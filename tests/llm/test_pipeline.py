@@ -1,13 +1,12 @@
 """The corpus pipeline, each stage against a plain account of its decision."""
 
 import random
-from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import mixing, toxicity
+from millrace.llm import mixing, ngram_join, packing, toxicity
 from millrace.llm.common import table, written
 from tests.conftest import rows
 
@@ -82,18 +81,48 @@ def test_near_copies_leave_the_smallest_id(stages):
 
 
 def test_mix_repeats_documents_by_their_taken_words(stages):
-    taken = {x["doc_id"]: int(x["taken"] / x["size"] + 0.5) for x in mixing.taken_words(stages["ngram_jaccard"]).collect() if x["size"]}
-    got = Counter(x["doc_id"] for x in stages["source_mixing"].collect())
-    assert got == {i: n for i, n in taken.items() if n} and max(got.values()) <= 2
-    whole = {tuple(x) for x in stages["ngram_jaccard"].collect()}
-    assert all(tuple(x) in whole for x in stages["source_mixing"].collect())
+    taken = {x["doc_id"]: (x["taken"], x["size"]) for x in mixing.taken_words(stages["ngram_jaccard"]).collect()}
+    before = {x["doc_id"]: x for x in stages["ngram_jaccard"].collect()}
+    got = {}
+    for x in stages["source_mixing"].collect():
+        got.setdefault(x["doc_id"], []).append(x)
+    assert set(got) == {i for i, (t, _) in taken.items() if t}
+    for i, copies in got.items():
+        t, size = taken[i]
+        words = sorted((len(x["text"].split()) for x in copies), reverse=True)
+        assert words == [size] * (t // size) + [t % size] * (t % size > 0)
+        assert all(before[i]["text"].startswith(x["text"]) and [x[c] for c in x.__fields__ if c != "text"] == [
+            before[i][c] for c in x.__fields__ if c != "text"] for x in copies)
+
+
+def test_one_long_document_meets_its_target(spark):
+    text = " \n" + " ".join(f"w{i}\t\n" for i in range(1000))
+    docs = spark.createDataFrame([(1, text, "a", "x"), (2, "u v " * 4000, "b", "x"), (3, None, "a", "x")], "doc_id long, text string, source string, size string")
+    target = {x["source"]: x["target"] for x in mixing.taken_words(docs).collect()}
+    out = mixing.repeated(docs).collect()
+    for source, of in (("a", 1), ("b", 2)):
+        assert abs(sum(len(x["text"].split()) for x in out if x["source"] == source) - target[source]) <= 1 + 0.01 * target[source]
+        assert {x["doc_id"] for x in out if x["source"] == source} == {of}
+    assert all(text.startswith(x["text"]) for x in out if x["doc_id"] == 1)
+
+
+def test_near_copies_of_a_repeated_id_go_by_their_texts(spark):
+    x, y, z = "one two three four five six", "seven eight nine ten eleven twelve", "river stone lamp cloud paper green quiet"
+    rows = [(3, x), (5, x), (5, y), (5, y), (7, z), (7, z), (9, z), (None, z), (11, None), (11, "")]
+    docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, n_shingles string")
+    kept = ngram_join.keep_first(docs).collect()
+    key = lambda r: (str(r[0]), r[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=key) == sorted([(3, x), (5, y), (7, z), (None, z), (11, None), (11, "")], key=key)
+    assert kept[0].__fields__ == docs.columns
+    got = sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in ngram_join.components(docs).collect())
+    assert got == sorted([("3", 2, 3), ("5", 2, 3), ("5", 2, 5), ("5", 2, 5), ("7", 3, 7), ("7", 3, 7), ("9", 3, 7), ("None", 3, None), ("11", 0, 11), ("11", 0, 11)])
 
 
 def test_run_packs_every_token_of_the_mix(spark, folder, stages):
     pieces = corpus_pipeline.run(spark, folder)
-    per = {x["doc_id"]: x["length"] / x["doc_tokens"] for x in pieces.groupBy("doc_id").agg(
-        F.sum("length").alias("length"), F.first("doc_tokens").alias("doc_tokens")).collect()}
-    assert per == Counter(x["doc_id"] for x in stages["source_mixing"].collect())
+    packed = pieces.groupBy("doc_id").agg(F.sum("length").alias("length")).collect()
+    alone = {x["doc_id"]: x["length"] for x in packing.pack(stages["source_mixing"]).groupBy("doc_id").agg(F.sum("length").alias("length")).collect()}
+    assert {x["doc_id"]: x["length"] for x in packed} == alone and set(alone) == {x["doc_id"] for x in stages["source_mixing"].collect()}
     assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").isEmpty()
 
 
