@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and, for longer words, their first five letters (so inflected and
-compounded forms meet). All terms of the labelled examples count. A term weighs
+Terms are the first five letters of words, so inflected and compounded forms meet.
+All terms of the labelled examples count. A term weighs
 its sublinear frequency times its inverse document frequency among the examples,
 times one plus its contrast: by how many standard errors its shares of toxic and
 other examples differ. No term is cut; the contrast decides how near texts are that
@@ -39,7 +39,7 @@ import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +55,8 @@ MAX_PER_LABEL = 5000
 SAMPLE_BYTES = 256 << 20
 NEAREST = 15
 BLOCK = 64  # examples per block
-BATCH = 64  # queries compared at once
-LONG_LISTS = 256  # terms whose lists are cut into blocks; decides the cost only
+BATCH = 128  # queries compared at once
+LONG_LISTS = 1536  # terms whose lists are cut into blocks; decides the cost only
 FIRST = 4  # blocks evaluated before the bounds are compared with what was found
 MARGIN = 4e-4  # more than twice the relative error of a sum of weights (none is negative) in single precision
 STEM = 5
@@ -65,34 +65,40 @@ CUT = 0.5
 _STRIP = ".,;:!?\"'()[]{}<>*#&%$-_~…«»“”"
 
 
-def terms(word: str) -> list[str]:
-    """The terms of one word: itself (up to 40 characters) and its stem, marked by ``*``."""
-    word = word.strip(_STRIP)
-    if not word:
-        return []
-    return [word[:40], word[:STEM] + "*"] if len(word) > STEM else [word]
+def term_of(word: str) -> str:
+    """The term of one word: its stem, empty where only marks are left."""
+    return word.strip(_STRIP)[:STEM]
 
 
-class Vocabulary(dict):
-    """Words to the numbers of their terms; as a dict, a bounded cache. Terms that the
-    examples lack get numbers beyond the known ones."""
+class Vocabulary:
+    """Words to the numbers of their terms, -1 for none, through a bounded cache. Terms
+    that the examples lack get numbers beyond the known ones."""
 
     def __init__(self, known: dict[str, int]):
-        super().__init__()
-        self.known, self.other = known, {}
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        out = tuple(self.known[t] if t in self.known else self.other.setdefault(t, len(self.known) + len(self.other)) for t in terms(word))
-        self[word] = out
+        self.known, self.other, self.cache = known, {}, {}
+
+    def number(self, word: str) -> int:
+        term = term_of(word)
+        if not term:
+            out = -1
+        elif (out := self.known.get(term, -1)) < 0:
+            out = self.other.setdefault(term, len(self.known) + len(self.other))
+        self.cache[word] = out
         return out
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The terms of a text in rising order, and how often each occurs."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
             self.other.clear()
-        found = chain.from_iterable(map(self.__getitem__, text.lower().split()))
-        return np.unique(np.fromiter(found, np.int32), return_counts=True)
+        words = text.lower().split()
+        found = np.fromiter(map(self.cache.get, words, repeat(-2)), np.int32, len(words))
+        for i in np.flatnonzero(found == -2).tolist():
+            found[i] = self.number(words[i])
+        found.sort()
+        first = np.flatnonzero(found[1:] != found[:-1]) + 1
+        first = np.concatenate([[0], first]) if len(found) and found[0] >= 0 else first
+        return found[first], np.diff(first, append=len(found))
 
 
 def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -143,12 +149,12 @@ class BlockMaxIndex:
         self.lane = np.full(n_terms, -1, np.int32)
         self.lane[long] = np.arange(len(long))
         lane, at = self.lane[cols], self.place[owner]
-        self.lists = np.zeros((len(long), self.blocks * BLOCK), np.float32)
-        self.lists[lane[lane >= 0], at[lane >= 0]] = vals[lane >= 0]
-        self.most = self.lists.reshape(len(long), self.blocks, BLOCK).max(axis=2, initial=0)
+        self.lists = np.zeros((self.blocks, len(long), BLOCK), np.float32)
+        self.lists[at[lane >= 0] // BLOCK, lane[lane >= 0], at[lane >= 0] % BLOCK] = vals[lane >= 0]
+        self.most = np.ascontiguousarray(self.lists.max(axis=2, initial=0).T)
         short = np.flatnonzero(lane < 0)
         short = short[np.argsort(cols[short], kind="stable")]
-        self.at, self.weights = at[short], vals[short].astype(np.float32)
+        self.at, self.weights = at[short].astype(np.intp), vals[short]
         often[long] = 0
         self.sizes, self.starts = often, np.cumsum(often) - often
         self.query = np.zeros(n_terms)
@@ -166,11 +172,11 @@ class BlockMaxIndex:
     def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, skips: list[int] | None = None) -> list[list[tuple[int, float]]]:
         """Per query the ``k`` examples of largest cosine (above 0) but for one to skip, ties to the smaller number."""
         return [x for first in range(0, len(queries), BATCH) for x in self._batch(
-            queries[first:first + BATCH], k, [-1] * len(queries) if skips is None else skips[first:first + BATCH])]
+            queries[first:first + BATCH], k, (skips or [-1] * len(queries))[first:first + BATCH])]
 
     def _batch(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skips: list[int]) -> list[list[tuple[int, float]]]:
         m, width = len(queries), self.blocks * BLOCK
-        left, short = np.zeros((m, len(self.lists)), np.float32), np.zeros((m, width), np.float32)
+        left, short = np.zeros((m, len(self.most)), np.float32), np.zeros((m, width), np.float32)
         for i, (which, weights) in enumerate(queries):
             lane = self.lane[which]
             left[i, lane[lane >= 0]] = weights[lane >= 0]
@@ -187,7 +193,7 @@ class BlockMaxIndex:
         for turn in range(2):
             for b in np.flatnonzero(need.any(axis=0)).tolist():
                 rows, here = np.flatnonzero(need[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
-                score[rows, here] = left[rows] @ self.lists[:, here] + short[rows, here]
+                score[rows, here] = left[rows] @ self.lists[b] + short[rows, here]
             score[skipped >= 0, self.place[skipped[skipped >= 0]]] = -1
             self.evaluated += int(need.sum())
             if not turn:  # all blocks whose bound reaches the k-th best of the first few
@@ -304,7 +310,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: set[str] = set()
     for batch in slices(batches):
         words = {w for text in batch.column("text") for w in text.as_py().lower().split()}
-        found.update(t for w in words for t in terms(w))
+        found.update(t for t in map(term_of, words) if t)
     yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["term"])
 
 

@@ -271,7 +271,7 @@ def test_toxic_neighbours_rest_on_all_terms(spark):
     assert 60 in learned
     toxic = {i: int(i % 4 == 0) for i in learned}
     marks = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
-    counts = {i: Counter(t for w in text.lower().split() for t in toxicity.terms(w)) for i, text in rows}
+    counts = {i: Counter(t for t in map(toxicity.term_of, text.lower().split()) if t) for i, text in rows}
     n, ones = len(learned), sum(toxic.values())
 
     def weight(term, times):
@@ -292,6 +292,16 @@ def test_toxic_neighbours_rest_on_all_terms(spark):
         assert all(c == pytest.approx(cos[j]) for j, c in near.items())
 
 
+def test_terms_of_words_and_bounded_cache(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 2)
+    words = toxicity.Vocabulary({"river": 0, "stone": 1})
+    for _ in range(3):  # unknown terms get numbers beyond the known ones, marks none
+        which, times = words.counts("Rivers, STONE rivered ... new! new (newer)")
+        assert which.tolist()[:2] == [0, 1] and times.tolist()[:2] == [2, 1]
+        assert sorted(times.tolist()[2:]) == [1, 2] and all(i >= 2 for i in which.tolist()[2:])
+    assert [x.tolist() for x in words.counts("")] == [[], []] == [x.tolist() for x in words.counts(" . ! ")]
+
+
 def test_labelled_sample_is_one_row_per_document(spark):
     docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d"), (3, None)], "doc_id long, text string")
     marks = spark.createDataFrame([(1, 1), (1, 1), (1, 0), (2, 1), (2, 0), (3, 1), (4, 1), (None, 1), (2, None)], "doc_id long, toxic int")
