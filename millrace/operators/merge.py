@@ -141,6 +141,16 @@ def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequ
     return out.select(*df.columns)
 
 
+def latest_values(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
+    """One row per key: each column's last value by ``order_by`` that is not null, as if the
+    rows were merged one after the other by the coalescing rule. Combined map-side."""
+    keys, order = _names(keys), _names(order_by)
+    seq = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)]
+    rest = [c for c in df.columns if c not in keys]
+    last = [F.max(F.when(F.col(f"`{c}`").isNotNull(), F.struct(*seq, F.col(f"`{c}`").alias("v"))))["v"].alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*last).select(*df.columns)
+
+
 def upsert_replace(target: DataFrame, delta: DataFrame, keys: str | Sequence[str], *,
                    dedupe_by: str | Sequence[str] | None = None,
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

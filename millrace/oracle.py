@@ -6,7 +6,7 @@ match the Spark results.
 
 from __future__ import annotations
 
-_ETL_SELECT = """
+ETL_SELECT = """
 SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
        l.l_extendedprice AS sale_amount, p.p_name AS product_name, p.p_type AS category,
        CAST(l.l_shipdate AS DATE) AS sale_date
@@ -14,7 +14,7 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 WHERE l.l_returnflag = 'A'
 """
 
-_MAX_SHIP = "(SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"
+MAX_SHIP = "(SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"
 
 _ORDERS_BY_MONTH = """
 WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS o_month FROM orders),
@@ -73,8 +73,8 @@ _NORM = ("list_filter(list_transform(string_split(text, chr(10)), "
          "lambda l: regexp_replace(l, '[ \\t\\n\\x0B\\f\\r]', '', 'g')), lambda l: l <> '')")
 
 ORACLE_SQL: dict[str, str] = {
-    "daily_etl": _ETL_SELECT + f"  AND CAST(l.l_shipdate AS DATE) = {_MAX_SHIP}",
-    "daily_backfill": _ETL_SELECT + f"  AND CAST(l.l_shipdate AS DATE) BETWEEN {_MAX_SHIP} - 29 AND {_MAX_SHIP}",
+    "daily_etl": ETL_SELECT + f"  AND CAST(l.l_shipdate AS DATE) = {MAX_SHIP}",
+    "daily_backfill": ETL_SELECT + f"  AND CAST(l.l_shipdate AS DATE) BETWEEN {MAX_SHIP} - 29 AND {MAX_SHIP}",
     "latest_date": "SELECT coalesce(max(CAST(o_orderdate AS DATE)), DATE '2024-01-01') AS latest_date FROM orders",
     "pending_days": """
 SELECT m - 9 + CAST(i AS INTEGER) AS day

@@ -19,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.dates import as_date, days_between, in_days, on_day
 from ..functions.text import col_of
+from ..sources.snapshots import SnapshotTable
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 ColumnMap = Mapping[str, "str | Column"]
@@ -160,6 +161,22 @@ def daily_backfill(spark: SparkSession, fact: DataFrame, dim: DataFrame, target_
     return run
 
 
+def backfill_snapshot(fact: DataFrame, dim: DataFrame, target: SnapshotTable, *, default_start: str | _dt.date,
+                      today: str | _dt.date, lookback_days: int = 0, **etl_args) -> DataFrame:
+    """:func:`daily_backfill` into a snapshot table: all pending days appear together, a
+    reloaded day without rows is emptied in the same step, the days come from the
+    manifest (no file is listed), and the frame is computed once. Returns the pending days."""
+    spark = fact.sparkSession
+    known = target.values()
+    latest = spark.range(1).select((as_date(known[-1]) if known else as_date(default_start)).alias("latest_date"))
+    days = [r["day"] for r in pending_days(latest, today, lookback_days=lookback_days).orderBy("day").collect()]  # one row per day
+    run = spark.createDataFrame([(d,) for d in days], "day date")
+    if days:
+        frame = backfill_frame(fact, dim, days[0], days[-1], out_date_col=target.column, **etl_args)
+        target.commit(frame, replaces=[d.isoformat() for d in days])
+    return run
+
+
 def _drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a partition folder, if there is one."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -109,6 +109,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later jobs neither compute it
+    again nor go back beyond it when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unique_name(prefix: str) -> str:
     """A catalog-safe unique identifier (tables and views are session-global)."""
     return f"{prefix}_{uuid.uuid4().hex[:10]}"

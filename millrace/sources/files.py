@@ -29,11 +29,17 @@ CSV_TIME_OPTIONS = {
 }
 
 
-def _norm_uri(c):
+def norm_uri(c):
     """One spelling for local URIs (``file:/x`` and ``file:///x``)."""
     return F.regexp_replace(c, r"^file:/+", "file:///")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme and authority that Spark gives it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(at).toString()
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None,
                recursive: bool = True) -> DataFrame:
     """One row per file under ``path``: ``path, file_name, length,
@@ -50,11 +56,11 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
     listing = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
-    listing = listing.select(_norm_uri(F.col("path")).alias("path"))
+    listing = listing.select(norm_uri(F.col("path")).alias("path"))
     listing = listing.withColumn("relative_path", relative_to(F.col("path"), path))
     if not recursive:
         listing = listing.filter(~F.col("relative_path").contains("/"))
-    meta = files.select(_norm_uri(F.col("path")).alias("path"), "length",
+    meta = files.select(norm_uri(F.col("path")).alias("path"), "length",
                         F.col("modificationTime").alias("modification_time"))
     return listing.join(meta, "path", "left").select(
         "path", "relative_path", base_name("path").alias("file_name"),
@@ -155,8 +161,18 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "
 def copy_day(spark: SparkSession, source_path: str, target_path: str, day: str, *,
              fmt: str = "parquet", partition_col: str = "ingest_date") -> None:
     """Copy one day's folder into ``target_path/<partition_col>=<day>``,
-    replacing that day only."""
-    src = spark.read.format(fmt).option("header", True).load(source_path)
+    replacing that day only. CSV is read by header, cells as text (quotes, blanks and
+    line breaks stay); rows that do not fit their header raise."""
+    if fmt == "csv":
+        from .csvsplit import read_csv_by_header
+
+        src, rejects = read_csv_by_header(spark, source_path)
+        bad = rejects.first()
+        if bad is not None:
+            raise ValueError(f"{bad['file']} has rows that do not fit ({bad['reason']})")
+    else:
+        src = spark.read.format(fmt).load(source_path)
     out = src.withColumn(partition_col, F.to_date(F.lit(day)))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    options = CSV_TIME_OPTIONS if fmt == "csv" else {}
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
      .partitionBy(partition_col).format(fmt).option("header", True).save(target_path))
