@@ -329,7 +329,7 @@ def q_load_overwrite(spark, sf_dir):
 
 # ---------------------------------------------------------------- pipe records and layouts
 
-PIPE_COLUMNS = ["ID", "PROCESS_NAME", "DS100", "DS200", "DS300", "DS400", "DS500"]
+PIPE_COLUMNS = ["ID", "PROCESS_NAME", "DSSTATUS", "DSDAY", "DSPRICE", "DSLINK", "DSREF"]
 
 
 def order_lines(o: DataFrame) -> DataFrame:
@@ -339,14 +339,14 @@ def order_lines(o: DataFrame) -> DataFrame:
     parts = [
         F.lit("ID"), s("o_orderkey"), F.lit("PROCESS_NAME"), F.col("o_orderpriority"),
         F.when(F.col("o_orderpriority") != "5-LOW",
-               F.concat_ws("|", F.lit("DS100"), F.col("o_orderstatus"), s("o_custkey"))),
-        F.concat_ws("|", F.lit("DS200"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderstatus")),
+               F.concat_ws("|", F.lit("DSSTATUS"), F.col("o_orderstatus"), s("o_custkey"))),
+        F.concat_ws("|", F.lit("DSDAY"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderstatus")),
         F.lit("ZZ"),
-        F.concat_ws("|", F.lit("DS300"), F.floor("o_totalprice").cast("long").cast("string"), F.lit("P")),
-        F.concat_ws("|", F.lit("DS900"), F.lit("a"), F.lit("b")),
+        F.concat_ws("|", F.lit("DSPRICE"), F.floor("o_totalprice").cast("long").cast("string"), F.lit("P")),
+        F.concat_ws("|", F.lit("DSNOTE"), F.lit("a"), F.lit("b")),
         F.when(F.col("o_orderstatus") != "P",
-               F.concat_ws("|", F.lit("DS400"), s("o_custkey"), s("o_orderkey"))),
-        F.concat_ws("|", F.lit("DS500"), s("o_orderkey")),
+               F.concat_ws("|", F.lit("DSLINK"), s("o_custkey"), s("o_orderkey"))),
+        F.concat_ws("|", F.lit("DSREF"), s("o_orderkey")),
     ]
     return o.select("o_orderkey", F.concat_ws("|", *parts).alias("line"))
 
@@ -390,10 +390,10 @@ def q_xml_layout_exclude(spark, sf_dir):
 
 
 def region_layout(spark, sf_dir) -> DataFrame:
-    """A single layout document with one ``DS<100*(k+1)>`` field per region."""
+    """A single layout document with one field per region: the keys of :func:`order_lines`."""
     r = table(spark, sf_dir, "region")
     f = r.select(F.struct("r_regionkey", F.concat(
-        F.lit("<field><name>DS"), ((F.col("r_regionkey") + 1) * 100).cast("string"),
+        F.lit("<field><name>"), F.get(F.array(*[F.lit(c) for c in PIPE_COLUMNS[2:]]), F.col("r_regionkey").cast("int")),
         F.lit("</name></field>")).alias("x")).alias("f"))
     return f.agg(F.concat(F.lit("<bulkData>"),
                           F.array_join(F.transform(F.sort_array(F.collect_list("f")), lambda x: x["x"]), ""),
@@ -402,7 +402,7 @@ def region_layout(spark, sf_dir) -> DataFrame:
 
 def q_load_by_layout(spark, sf_dir):
     layout = region_layout(spark, sf_dir).select(
-        textparse.layout_columns(F.col("doc"), exclude=["DS300"]).alias("columns"))
+        textparse.layout_columns(F.col("doc"), exclude=["DSPRICE"]).alias("columns"))
     lines = order_lines(table(spark, sf_dir, "orders"))
     return textparse.load_by_layout(lines, "line", layout, order_by="o_orderkey")
 

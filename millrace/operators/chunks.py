@@ -1,13 +1,8 @@
 """Row numbering, chunking and paging without a single-task global window.
 
 A global ``row_number()`` with no partition moves every row into one task.
-Instead the rows are range-partitioned on the order, sorted inside each
-partition, numbered locally, and shifted by the row counts of the partitions
-before them (a table with one row per partition, broadcast back). The counts
-and the numbers read the same range exchange (Spark reuses it), and with a
-total order (a row-hash tie-break) a recomputed partition after a lost
-executor gets the same numbers. The ranges are written to the
-shared checkpoint folder once, so numbers and counts rest on the same rows.
+Instead the order is cut into ranges with fixed bounds (:mod:`.ranges`): counts per
+range say what lies before each, and rows are numbered inside their ranges.
 """
 
 from __future__ import annotations
@@ -18,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of, serial
-from ..session import shared_dir
+from ..plans.joins import broadcast_if_small
+from ..session import written
+from .ranges import NotRangeable, Ranges
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -37,21 +34,29 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
     ``tie_break`` appends ``xxhash64`` of the whole row to the order, so rows
     that tie on ``order_by`` are still numbered the same way on every run
     (identical rows are interchangeable). Adds the column ``__total`` (N) too;
-    callers drop it or use it.
+    callers drop it or use it. The rows are dealt to ranges with fixed bounds
+    (see :mod:`.ranges`), ``num_partitions`` of them; nothing is written. An order that cannot be cut so
+    (descending or nested columns) rests on a written range exchange instead.
     """
-    spark = df.sparkSession
     order = _order_cols(order_by)
+    try:
+        ranges = Ranges(df, order, tie_break=tie_break, ranges=num_partitions)
+    except NotRangeable:
+        return _with_written_index(df, order, index_col, num_partitions, tie_break)
+    return ranges.numbered(index_col).withColumn("__total", F.lit(ranges.total).cast("long"))
+
+
+def _with_written_index(df: DataFrame, order: list[Column], index_col: str, num_partitions: int | None, tie_break: bool) -> DataFrame:
+    spark = df.sparkSession
     if tie_break:
         order = order + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order)
     # monotonically_increasing_id = (partition << 33) + position in partition
-    local = ranged.sortWithinPartitions(*order).select(
+    local = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
         "*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_LOCAL))
     # counts and numbers must come from one and the same range exchange: its rows are
     # written to the shared folder once, and a lost executor does not deal them anew
-    shared_dir(spark)
-    local = local.checkpoint(eager=True)
+    local = written(local, "row-index")
     counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()  # over <= num_partitions rows
@@ -66,6 +71,12 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index", *,
                            index.alias(index_col), F.col("__total"))
 
 
+def running_before(df: DataFrame, order_by, weight: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over all rows that come before in the order (unique
+    ascending keys). Two levels: sums per range of the order, then inside the ranges."""
+    return Ranges(df, _order_cols(order_by), tie_break=False, weight=F.col(weight)).running(name)
+
+
 def with_split_order_index(df: DataFrame, split_cols, position_col: str, index_col: str = "row_index",
                            *, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Number rows 1..N in storage order without moving them.
@@ -73,18 +84,13 @@ def with_split_order_index(df: DataFrame, split_cols, position_col: str, index_c
     ``split_cols`` identify the input split a row was read from (e.g. file path
     and split start) and sort the splits in storage order; ``position_col`` is a
     ``monotonically_increasing_id()`` taken at the scan, so it grows inside a
-    split. Each split's offset is the row count of the splits before it; only
-    the per-split table (one row per input split) travels, broadcast when its
-    row count is proven small, else joined by shuffle."""
-    from ..plans.joins import broadcast_if_small
-
+    split. Each split's offset is the row count of the splits before it, summed
+    in two levels; only the per-split table (one row per input split, written once)
+    travels, broadcast when its row count is proven small, else joined by shuffle."""
     split_cols = [split_cols] if isinstance(split_cols, str) else list(split_cols)
-    per_split = df.groupBy(*split_cols).agg(F.count(F.lit(1)).alias("__n"),
-                                            F.min(position_col).alias("__first"))
-    before = Window.orderBy(*split_cols).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select(*split_cols, "__first",
-                               F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    numbered = df.join(broadcast_if_small(offsets, broadcast_rows, cache=True), split_cols)
+    per_split = written(df.groupBy(*split_cols).agg(F.count(F.lit(1)).alias("__n"), F.min(position_col).alias("__first")), "splits")
+    offsets = running_before(per_split, split_cols, "__n", "__offset").drop("__n")
+    numbered = df.join(broadcast_if_small(offsets, broadcast_rows), split_cols)
     index = F.col(position_col) - F.col("__first") + F.col("__offset") + 1
     return numbered.select(*[F.col(f"`{c}`") for c in df.columns], index.alias(index_col))
 
@@ -152,14 +158,30 @@ def batch_range(total: int, batches: int, current: int) -> list[int]:
     return [start, end]
 
 
+#: Pages that begin beyond this many rows are found by counts, others by a top-k sort.
+DEEP_PAGE = 100_000
+
+
 def page(df: DataFrame, offset: int, limit: int, order_by=None) -> DataFrame:
     """``ORDER BY ... LIMIT limit OFFSET offset``. Ordering by all columns (the
-    default) makes ties stable; Spark keeps only ``offset + limit`` rows per
-    task before the final merge."""
+    default) makes ties stable. Near the front Spark keeps only ``offset + limit``
+    rows per task; a page that begins beyond ``DEEP_PAGE`` rows is located by
+    :func:`deep_page`."""
     order = _order_cols(order_by) if order_by is not None else [F.col(f"`{c}`") for c in df.columns]
+    if offset > DEEP_PAGE:
+        try:
+            return deep_page(df, offset, limit, order)
+        except NotRangeable:
+            pass
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def deep_page(df: DataFrame, offset: int, limit: int, order_by) -> DataFrame:
+    """The same page by order statistics: counts per range of the order tell which one or
+    two ranges hold it, and only their rows are sorted. Ties go by the row's hash."""
+    return Ranges(df, _order_cols(order_by)).page(offset, limit)
+
+
 def chunk_file_name(run_date: Column, chunk: Column, suffix: str = ".csv", naming: str = "dated") -> Column:
     """Export name of a chunk: ``YYYYMMDD-NN.csv`` (``dated``) or
     ``part_N.csv`` (``part``)."""

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .chunks import with_row_index, with_split_order_index
+from ..session import written
+from .chunks import running_before, with_row_index, with_split_order_index
 
 # fixed values of the record format
 ID_KEY = "ID"
@@ -122,19 +123,19 @@ def number_stripped_lines(lines: DataFrame, index_col: str = "__id", *, line_col
 
     One aggregation over ``(file, split)`` yields everything: per split its
     row count, first position and first/last non-blank position; the offsets
-    and per-file edges are then computed on that table (one row per split)
-    and broadcast back. The lines themselves are never shuffled."""
+    and per-file edges are then computed on that table (one row per split, written
+    once, summed in two levels) and broadcast back if small. The lines themselves
+    are never shuffled."""
     from ..functions.text import PY_SPACE
     from ..plans.joins import broadcast_if_small
 
     split = ["__file", "__block"]
     text = F.btrim(F.col(line_col), F.lit(PY_SPACE)) != ""
     pos = F.col("__pos")
-    per_split = lines.groupBy(*split).agg(
+    per_split = written(lines.groupBy(*split).agg(
         F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__p0"),
-        F.min(F.when(text, pos)).alias("__t0"), F.max(F.when(text, pos)).alias("__t1"))
-    in_order = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    per_split = per_split.withColumn("__off", F.coalesce(F.sum("__n").over(in_order), F.lit(0)))
+        F.min(F.when(text, pos)).alias("__t0"), F.max(F.when(text, pos)).alias("__t1")), "splits")
+    per_split = running_before(per_split, split, "__n", "__off")
 
     def glob(p: Column) -> Column:  # global 1-based index of a position of this split
         return p - F.col("__p0") + F.col("__off") + 1
@@ -146,12 +147,11 @@ def number_stripped_lines(lines: DataFrame, index_col: str = "__id", *, line_col
                    F.min(glob(F.col("__p0"))).over(file_w)).alias("__keep_from"),
         F.coalesce(F.max(glob(F.col("__t1"))).over(file_w),
                    F.min(glob(F.col("__p0"))).over(file_w)).alias("__keep_to"))
-    per_file = per_split.select("__file", "__keep_from", "__keep_to").distinct()
-    files_before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    per_file = per_file.select("__file", F.coalesce(F.sum(
-        F.col("__keep_to") - F.col("__keep_from") + 1).over(files_before), F.lit(0)).alias("__kept_before"))
-    info = per_split.join(per_file, "__file")
-    joined = lines.join(broadcast_if_small(info, cache=True), split)
+    per_split = written(per_split, "split-edges")
+    per_file = per_split.select("__file", (F.col("__keep_to") - F.col("__keep_from") + 1).alias("__kept")).distinct()
+    per_file = running_before(written(per_file, "files"), "__file", "__kept", "__kept_before").drop("__kept")
+    info = written(per_split.join(per_file, "__file"), "split-offsets")
+    joined = lines.join(broadcast_if_small(info), split)
     idx = pos - F.col("__p0") + F.col("__off") + 1
     kept = joined.filter(idx.between(F.col("__keep_from"), F.col("__keep_to")))
     first, last = idx == F.col("__keep_from"), idx == F.col("__keep_to")

@@ -36,16 +36,16 @@ FROM c GROUP BY chunk
 
 _PIPE_COLS = {
     "PROCESS_NAME": "o_orderpriority",
-    "DS100": "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus || '-' || CAST(o_custkey AS VARCHAR) END",
-    "DS200": "strftime(o_orderdate, '%Y-%m-%d') || '-' || o_orderstatus",
-    "DS300": "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || '-P'",
-    "DS400": "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey AS VARCHAR) END",
-    "DS500": "CAST(o_orderkey AS VARCHAR)",
+    "DSSTATUS": "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus || '-' || CAST(o_custkey AS VARCHAR) END",
+    "DSDAY": "strftime(o_orderdate, '%Y-%m-%d') || '-' || o_orderstatus",
+    "DSPRICE": "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || '-P'",
+    "DSLINK": "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey AS VARCHAR) END",
+    "DSREF": "CAST(o_orderkey AS VARCHAR)",
 }
 
 
-def _pipe_sql(columns: list[str]) -> str:
-    cols = ["row_number() OVER (ORDER BY o_orderkey) AS \"ID\""]
+def pipe_sql(columns: list[str], order: str = "o_orderkey") -> str:
+    cols = [f"row_number() OVER (ORDER BY {order}) AS \"ID\""]
     cols += [f"{_PIPE_COLS[c]} AS \"{c}\"" for c in columns]
     return "SELECT " + ",\n       ".join(cols) + "\nFROM orders"
 
@@ -184,10 +184,10 @@ FROM lineitem
 SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_phone, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal
 FROM customer
 """,
-    "parse_pipe_records": _pipe_sql(["PROCESS_NAME", "DS100", "DS200", "DS300", "DS400", "DS500"]),
+    "parse_pipe_records": pipe_sql(["PROCESS_NAME", "DSSTATUS", "DSDAY", "DSPRICE", "DSLINK", "DSREF"]),
     "xml_layout": _layout_sql(None),
     "xml_layout_exclude": _layout_sql("NATION_0"),
-    "load_by_layout": _pipe_sql(["PROCESS_NAME", "DS100", "DS200", "DS400", "DS500"]),
+    "load_by_layout": pipe_sql(["PROCESS_NAME", "DSSTATUS", "DSDAY", "DSLINK", "DSREF"]),
     "presence_matrix": f"""
 WITH a AS (SELECT DISTINCT {_DOC} AS f FROM documents WHERE lang IN ('en', 'de')),
      b AS (SELECT DISTINCT {_DOC} AS f FROM documents WHERE lang IN ('de', 'fr', 'es') AND source <> 'src0')
