@@ -212,6 +212,60 @@ def test_pii_base_spans_match_the_patterns():
     assert pii.redact(text, pii.base_spans(text)) == "card <card>, call <phone>."
 
 
+def _luhn(digits):
+    total = sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits)))
+    return total % 10 == 0
+
+
+def test_pii_cards_phones_counts_and_digest_match_the_patterns(spark):
+    import re
+
+    forms = ((0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), (1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+             (2, r"[0-9]([\x20-]?[0-9])+"), (3, r"\+[0-9][\x20().0-9-]+[0-9]"))
+    r = random.Random(9)
+    parts = ["4111 1111 1111 1111", "4111111111111112", "+1 (212) 555-0188", "+12", "10.0.0.255", "1.2.3.256", "a@b.c", "é", " ", "-", "4", "00", "+", "5500-0000-0000-0004", "x"]
+    rows = [(i, "".join(r.choices(parts, k=r.randrange(12)))) for i in range(400)] + [(400, None), (401, "")]
+    out = {x["doc_id"]: x for x in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        found = []
+        for kind, form in forms:
+            for m in re.finditer(form, text or ""):
+                digits = re.sub("[^0-9]", "", m[0])
+                fit = (True, all(int(p) <= 255 for p in m[0].split(".")) if kind == 1 else True, 14 <= len(digits) <= 19 and _luhn(digits),
+                       10 <= len(digits) <= 15)[kind]
+                found += [(m.start(), kind, m.end())] if fit else []
+        found.sort()
+        names = ("email", "ip", "card", "phone")
+        assert [out[i][f"n_{n}"] for n in names] == [sum(k == j for _, k, _ in found) for j in range(4)], text
+        assert out[i]["base_sha256"] == hashlib.sha256(",".join(f"{names[k]}:{a}:{b}" for a, k, b in found).encode()).hexdigest()
+        every = out[i]["spans"].split(",") if out[i]["spans"] else []
+        assert {f"{names[k]}:{a}:{b}" for a, k, b in found} <= set(every) and len(every) == len(found) + out[i]["n_added"]
+
+
+def test_pii_time_grows_with_the_text():
+    import time
+
+    class Sure:
+        def probability(self, x):
+            return np.full(len(x), 0.99)
+
+    finder = pii.Finder(Sure())
+    text = "call +1 (212) 555-0188 or 212-555-0188, a@b.org, a at b dot org, 10.1.2.3; " * 4000
+    start = time.perf_counter()
+    base, more = finder.spans(text)
+    took = time.perf_counter() - start
+    assert len(base) >= 12000 and len(more) >= 4000 and took < 60
+    assert all(a[2] <= b[0] for a, b in zip(more, more[1:]))
+    cover = pii.Cover([(0, 0, 3), (2, 1, 5), (9, 0, 12)])
+    assert [cover.meets(a, a + 2) for a in range(12)] == [True] * 5 + [False] * 3 + [True] * 4
+
+
+def test_pii_thresholds_are_calibrated():
+    p = np.array([0.99] * 60 + [0.8] * 30 + [0.6] * 30)
+    y = np.array([1] * 60 + [1] * 30 + [0] * 30, float)
+    assert pii.calibrated(p, y) == 0.8 and pii.calibrated(p, 1 - y) == 1.0 and pii.calibrated(p[:10], y[:10]) == pii.THRESHOLD
+
+
 def test_pii_candidates_of_spelled_addresses_without_a_dot_word():
     for at in ("@", "(at)", "[AT]", "{at}", " at ", " [at] ", " (At) "):
         text = f"Please write john.smith{at}example.com, thanks"
