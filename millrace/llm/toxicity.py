@@ -56,11 +56,11 @@ SAMPLE_BYTES = 256 << 20
 NEAREST = 15
 BLOCK = 64  # examples per block
 BATCH = 128  # queries compared at once
-LONG_LISTS = 1536  # terms whose lists are cut into blocks; decides the cost only
+LONG_LISTS = 1024  # terms whose lists are cut into blocks; decides the cost only
 FIRST = 4  # blocks evaluated before the bounds are compared with what was found
 MARGIN = 4e-4  # more than twice the relative error of a sum of weights (none is negative) in single precision
 STEM = 5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 CUT = 0.5
 _STRIP = ".,;:!?\"'()[]{}<>*#&%$-_~…«»“”"
 
@@ -136,10 +136,13 @@ class BlockMaxIndex:
     def __init__(self, n_terms: int, ends: np.ndarray, cols: np.ndarray, vals: np.ndarray):
         self.n = n = len(ends) - 1
         self.ends, self.cols, self.vals = ends, cols, vals
-        owner = np.repeat(np.arange(n), np.diff(ends))
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(ends))
         sketch = np.zeros((n, 64))  # terms dealt to 64 signed places: enough to tell what is alike
-        deal = np.random.default_rng(1).integers(0, 128, n_terms)
-        np.add.at(sketch, (owner, deal[cols] >> 1), vals * (1 - 2.0 * (deal[cols] & 1)))
+        deal = np.random.default_rng(1).integers(0, 128, n_terms, dtype=np.int16)
+        for a in range(0, len(cols), 1 << 18):  # in lots, so that building takes little more than the index
+            part = slice(a, a + (1 << 18))
+            dealt = deal[cols[part]]
+            np.add.at(sketch, (owner[part], dealt >> 1), vals[part] * (1 - 2.0 * (dealt & 1)))
         self.order = alike(sketch)  # place -> example
         self.blocks = -(-n // BLOCK)
         self.place = np.empty(n, np.int32)
@@ -243,8 +246,8 @@ class Examples:
         numbers = numbered(known)
         self.weights = term_weights(len(numbers), ends, cols, labels)
         vals = (1 + np.log(times)) * self.weights[cols]
-        owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-        vals /= np.sqrt(np.bincount(owner, vals * vals, len(ends) - 1))[owner]
+        length = np.sqrt(np.add.reduceat(vals * vals, ends[:-1]))  # no example is without a term
+        vals /= np.repeat(length, np.diff(ends))
         self.index = BlockMaxIndex(len(numbers), ends, cols, vals)
         self.place = {int(i): k for k, i in enumerate(names)}
         self.words = Vocabulary(numbers)
