@@ -57,22 +57,24 @@ def cmd_merge_rows(args) -> None:
 
 def cmd_run_sql(args) -> None:
     from .plans.sqlsteps import run_sql_steps
+    from .sources.files import write_csv
     spark = _spark(args)
     params = dict(p.split("=", 1) for p in args.param)
     with open(args.script, encoding="utf-8") as f:
         result = run_sql_steps(spark, f.read(), args=params, style=args.style)
     if result is not None and args.output:
-        result.write.mode("overwrite").option("header", True).csv(args.output)
+        write_csv(result, args.output)
     elif result is not None:
         _print(result)
 
 
 def cmd_compare(args) -> None:
     from .operators.compare import compare_folders
+    from .sources.files import write_csv
     spark = _spark(args)
     report = compare_folders(spark, args.folder1, args.folder2, by_line=args.by_line)
     if args.output:
-        report.orderBy("file_name").write.mode("overwrite").option("header", True).csv(args.output)
+        write_csv(report.orderBy("file_name"), args.output)
     else:
         _print(report.orderBy("file_name"))
 
@@ -80,7 +82,9 @@ def cmd_compare(args) -> None:
 def cmd_count_files(args) -> None:
     from .sources.files import count_files
     spark = _spark(args)
-    count_files(spark, args.directory, args.ext).show(truncate=False)
+    found = count_files(spark, args.directory, args.ext).orderBy("ext")
+    for row in found.toLocalIterator():  # one line per extension, all of them
+        print(f"{row['ext']}\t{row['files']}")
 
 
 def cmd_load_csv(args) -> None:

@@ -178,10 +178,15 @@ def q_export_chunks(spark, sf_dir):
 def q_export_resume(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     out = scratch_path(spark, "export_resume")
-    # the resumable flavour names chunks part_N.csv; an interrupted run wrote chunk 1
-    export.export_chunks(o, 5, out, "o_orderkey", naming="part", only_chunks=[1])
-    export.export_chunks(o, 5, out, "o_orderkey", naming="part", resume=True)
-    return export.manifest(o, out)
+    # the resumable flavour names chunks part_N.csv; an interrupted run wrote chunks 1 and 3. What it
+    # wrote must stay: its rows say which run they come from
+    first, second = (o.withColumn("run", F.lit(n)) for n in ("first", "second"))
+    export.export_chunks(first, 5, out, "o_orderkey", naming="part", only_chunks=[1, 3])
+    export.export_chunks(second, 5, out, "o_orderkey", naming="part", resume=True)
+    columns = ", ".join(f"`{c}` string" for c in second.columns)
+    back = spark.read.schema(f"{columns}, file_name string").options(**files.CSV_TIME_OPTIONS).option("header", True).csv(out)
+    return back.groupBy("file_name", "run").agg(F.count(F.lit(1)).alias("rows"), F.min(F.col("o_orderkey").cast("long")).alias("first_key"),
+                                                F.max(F.col("o_orderkey").cast("long")).alias("last_key"))
 
 
 def q_batch_ranges(spark, sf_dir):

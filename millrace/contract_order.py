@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contract import PIPE_COLUMNS, order_lines, table
-from .operators import chunks, textparse
+from .operators import chunks, lattice, schema, textparse
 from .oracle import pipe_sql
-from .session import scratch_path
+from .session import scratch_path, written
+from .sources import files
+from .sources.csvsplit import read_csv_by_header
 
 
 def q_row_id_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +37,41 @@ def q_pipe_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textparse.read_pipe_records(spark, path, PIPE_COLUMNS)
 
 
-QUERIES = {"row_id_wide": q_row_id_wide, "page_deep": q_page_deep, "pipe_many_files": q_pipe_many_files}
+def q_count_hidden_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files per extension in a tree with hidden names: one file per brand, every second folder hidden."""
+    root = scratch_path(spark, "hidden_files")
+    p = table(spark, sf_dir, "part")
+    brand = F.regexp_replace("p_brand", "[^A-Za-z0-9]", "")
+    odd = F.pmod(F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int"), F.lit(2)) == 1
+    for hidden in (False, True):
+        rows = p.where(odd if hidden else ~odd).withColumn("brand", brand)
+        rows.repartition("brand").write.partitionBy("brand").option("header", True).csv(f"{root}/top/{'_hidden' if hidden else 'plain'}")
+    # the writer leaves one marker of success per table (no extension), and no other file
+    return files.count_files(spark, root, hidden=True).where("ext != 'crc'")
+
+
+def q_infer_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of columns whose last rows change them, under each policy, from one reading of the CSV."""
+    o = table(spark, sf_dir, "orders")
+    last = o.agg(F.max("o_orderkey")).first()[0]
+    late = F.col("o_orderkey") == last
+    text = F.col("o_orderkey").cast("string")
+    rows = o.select(
+        text.alias("whole"), F.when(late, "n/a").otherwise(text).alias("late text"), F.when(late, "0.5").otherwise(text).alias("late decimal"),
+        F.when(late, "3000000000").otherwise(text).alias("late long"), (F.col("o_orderstatus") == "F").cast("string").alias("flag"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.when(late, "2024-01-01 10:00:00").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("late time"),
+        F.when(late, "true").otherwise(text).alias("mixed"), F.lit("").alias("empty"))
+    path = scratch_path(spark, "late_types")
+    files.write_csv(rows.orderBy("o_orderkey"), path)
+    read, _ = read_csv_by_header(spark, path)
+    found = lattice.column_types(written(read, "csv-text"))
+    out = [(policy, i + 1, c.name, c.ddl(policy), c.cells) for policy in schema.POLICIES for i, c in enumerate(found)]
+    return spark.createDataFrame(out, "policy string, ordinal int, column_name string, data_type string, cells long")
+
+
+QUERIES = {"row_id_wide": q_row_id_wide, "page_deep": q_page_deep, "pipe_many_files": q_pipe_many_files,
+           "count_hidden_files": q_count_hidden_files, "infer_lattice": q_infer_lattice}
 
 ORACLE_SQL: dict[str, str] = {
     "row_id_wide": """
@@ -47,5 +83,17 @@ ORACLE_SQL: dict[str, str] = {
         WITH r AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rn, count(*) OVER () AS n FROM lineitem)
         SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM r
         WHERE rn > n * 9 // 10 AND rn <= n * 9 // 10 + 250""",
+    "count_hidden_files": """
+        SELECT 'csv' AS ext, count(DISTINCT regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) AS files FROM part
+        UNION ALL SELECT '', 2""",
+    "infer_lattice": """
+        WITH n AS (SELECT count(*) AS n FROM orders),
+        c(ordinal, column_name, t32, t64, tts) AS (VALUES
+            (1, 'whole', 'INT', 'BIGINT', 'BIGINT'), (2, 'late text', 'STRING', 'STRING', 'STRING'), (3, 'late decimal', 'DOUBLE', 'DOUBLE', 'DOUBLE'),
+            (4, 'late long', 'BIGINT', 'BIGINT', 'BIGINT'), (5, 'flag', 'BOOLEAN', 'BOOLEAN', 'BOOLEAN'), (6, 'day', 'STRING', 'STRING', 'TIMESTAMP'),
+            (7, 'late time', 'STRING', 'STRING', 'TIMESTAMP'), (8, 'mixed', 'STRING', 'STRING', 'STRING'), (9, 'empty', 'STRING', 'STRING', 'STRING'))
+        SELECT p.policy, c.ordinal, c.column_name, CASE p.policy WHEN 'int32' THEN t32 WHEN 'int64' THEN t64 ELSE tts END AS data_type,
+               CASE WHEN c.column_name = 'empty' THEN 0 ELSE n.n END AS cells
+        FROM c, n, (VALUES ('int32'), ('int64'), ('int64_ts')) AS p(policy)""",
     "pipe_many_files": pipe_sql(PIPE_COLUMNS[1:], order="CAST(o_orderdate AS DATE), o_orderkey"),
 }

@@ -65,6 +65,19 @@ def _check_keys(target: DataFrame, delta: DataFrame, keys: list[str]) -> None:
             raise ValueError(f"key column {k!r} is not in the delta")
 
 
+def delta_report(target: DataFrame, delta: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """One row on whether a delta can be merged: ``status`` (``ok``, ``empty``, or ``no key`` where a key
+    column is missing on either side), ``rows`` and ``null_keys`` of the delta."""
+    names = _names(keys)
+    missing = [k for k in names if _resolve(target, k) is None or _resolve(delta, k) is None]
+    null_key = F.lit(False)
+    for k in names if not missing else []:
+        null_key = null_key | F.col(f"`{_resolve(delta, k)}`").isNull()
+    counts = delta.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(null_key, 1)).alias("null_keys"))
+    status = F.lit("no key") if missing else F.when(F.col("rows") == 0, "empty").otherwise("ok")
+    return counts.select(status.alias("status"), "rows", "null_keys")
+
+
 def conform_delta(target: DataFrame, delta: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     """Delta columns shared with the target, renamed to target names and cast to
     target types with ``try_cast`` (ANSI ``coalesce('abc', 1)`` would fail at run

@@ -124,9 +124,11 @@ SELECT o_orderkey, row_index, CAST(floor((row_index - 1) / ceil(n / 7.0)) + 1 AS
 """,
     "export_chunks": _CHUNKS.format(n=7),
     "export_resume": """
-WITH r AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders),
-     c AS (SELECT CAST(floor((rn - 1) / ceil(n / 5.0)) + 1 AS INTEGER) AS chunk FROM r)
-SELECT 'part_' || CAST(chunk AS VARCHAR) || '.csv' AS file_name, count(*) AS rows FROM c GROUP BY chunk
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders),
+     c AS (SELECT o_orderkey, CAST(floor((rn - 1) / ceil(n / 5.0)) + 1 AS INTEGER) AS chunk FROM r)
+SELECT 'part_' || CAST(chunk AS VARCHAR) || '.csv' AS file_name, CASE WHEN chunk IN (1, 3) THEN 'first' ELSE 'second' END AS run,
+       count(*) AS rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM c GROUP BY chunk
 """,
     "batch_ranges": """
 WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS pos,

@@ -36,31 +36,15 @@ class Step:
     sql: str
 
 
+#: One piece of SQL text: a quoted stretch (a backslash escapes in strings, names double their
+#: quote), a comment, a semicolon, or other text. An open quote or comment runs to the end.
+_PIECE = re.compile(r"""(?P<quoted>'(?:\\.|[^'\\])*(?:'|$)|"(?:\\.|[^"\\])*(?:"|$)|`[^`]*(?:`|$))"""
+                    r"""|(?P<comment>--[^\n]*|/\*.*?(?:\*/|$))|(?P<end>;)|(?P<other>[^'"`;/-]+|.)""", re.S)
+
+
 def _strip_comments(sql: str) -> str:
     """SQL text without ``--`` line comments and ``/* */`` blocks (quote-aware)."""
-    out, i, n = [], 0, len(sql)
-    quote = None
-    while i < n:
-        ch = sql[i]
-        if quote:
-            out.append(ch)
-            if ch == quote:
-                quote = None
-            i += 1
-        elif ch in ("'", '"', "`"):
-            quote = ch
-            out.append(ch)
-            i += 1
-        elif sql.startswith("--", i):
-            j = sql.find("\n", i)
-            i = n if j < 0 else j
-        elif sql.startswith("/*", i):
-            j = sql.find("*/", i + 2)
-            i = n if j < 0 else j + 2
-        else:
-            out.append(ch)
-            i += 1
-    return "".join(out)
+    return "".join(m[0] for m in _PIECE.finditer(sql) if m.lastgroup != "comment")
 
 
 def is_empty_sql(sql: str) -> bool:
@@ -69,37 +53,12 @@ def is_empty_sql(sql: str) -> bool:
 
 def split_statements(script: str) -> list[str]:
     """Split on ``;`` outside quotes and comments."""
-    parts, buf, i, n = [], [], 0, len(script)
-    quote = None
-    while i < n:
-        ch = script[i]
-        if quote:
-            buf.append(ch)
-            if ch == quote:
-                quote = None
-            i += 1
-        elif ch in ("'", '"', "`"):
-            quote = ch
-            buf.append(ch)
-            i += 1
-        elif script.startswith("--", i):
-            j = script.find("\n", i)
-            j = n if j < 0 else j
-            buf.append(script[i:j])
-            i = j
-        elif script.startswith("/*", i):
-            j = script.find("*/", i + 2)
-            j = n if j < 0 else j + 2
-            buf.append(script[i:j])
-            i = j
-        elif ch == ";":
-            parts.append("".join(buf))
-            buf = []
-            i += 1
+    parts = [""]
+    for m in _PIECE.finditer(script):
+        if m.lastgroup == "end":
+            parts.append("")
         else:
-            buf.append(ch)
-            i += 1
-    parts.append("".join(buf))
+            parts[-1] += m[0]
     return [p.strip() for p in parts if p.strip()]
 
 

@@ -6,9 +6,11 @@ lists files in parallel and never opens them.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -67,6 +69,38 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
         F.coalesce("length", F.lit(0)).alias("length"), "modification_time")
 
 
+def list_tree(spark: SparkSession, path: str) -> DataFrame:
+    """Every file under ``path``, hidden names (``_x``, ``.x``) and their folders included, as ``find``
+    sees them: ``path, file_name, length``. The driver lists the first level only; its
+    folders are dealt to tasks, which walk them. ``path`` must be of a file system that the
+    workers' Arrow reaches (local and shared disks, HDFS, S3)."""
+    from pyarrow import fs
+
+    root = re.sub(r"^s3a:", "s3:", path.rstrip("/"))
+    store, base = fs.FileSystem.from_uri(root if re.match(r"^[a-z0-9]+:/", root) else f"file://{os.path.abspath(root)}")
+    first = store.get_file_info(fs.FileSelector(base))
+    schema = "path string, file_name string, length long"
+    files = [(f.path, f.base_name, f.size) for f in first if f.type == fs.FileType.File]
+    folders = sorted(f.path for f in first if f.type == fs.FileType.Directory)
+    out = spark.createDataFrame(files, schema)
+    if not folders:
+        return out
+
+    def walk(batches):
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                todo = [folder]
+                while todo:  # one folder's entries at a time
+                    found = store.get_file_info(fs.FileSelector(todo.pop()))
+                    todo += [f.path for f in found if f.type == fs.FileType.Directory]
+                    own = [f for f in found if f.type == fs.FileType.File]
+                    yield pa.RecordBatch.from_arrays([pa.array([f.path for f in own], pa.string()), pa.array([f.base_name for f in own], pa.string()),
+                                                      pa.array([f.size for f in own], pa.int64())], names=["path", "file_name", "length"])
+
+    dealt = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(1, min(len(folders), 1000)))
+    return out.unionByName(dealt.mapInArrow(walk, schema))
+
+
 def relative_to(path: "F.Column", root: str):
     """The part of a listed file path below ``root`` (as given by the user:
     absolute, relative, or a URI)."""
@@ -74,12 +108,13 @@ def relative_to(path: "F.Column", root: str):
     return F.regexp_extract(path, re.escape(core) + "/(.+)$", 1)
 
 
-def count_files(spark: SparkSession, path: str, ext: str | None = None) -> DataFrame:
+def count_files(spark: SparkSession, path: str, ext: str | None = None, *, hidden: bool = False) -> DataFrame:
     """Files per extension, recursively, extension compared case-insensitively.
 
     Without ``ext`` every extension is counted (``ext`` = '' for none); with it,
-    one row for that extension (count 0 when there is none)."""
-    files = list_files(spark, path).select(extension("path").alias("ext"))
+    one row for that extension (count 0 when there is none). ``hidden`` counts names that
+    begin with ``_`` or ``.`` too, and lists by tasks (:func:`list_tree`)."""
+    files = (list_tree(spark, path) if hidden else list_files(spark, path)).select(extension("path").alias("ext"))
     if ext is None:
         return files.groupBy("ext").agg(F.count(F.lit(1)).alias("files"))
     wanted = ext.lower().lstrip(".")
@@ -123,15 +158,15 @@ def read_csv_text(spark: SparkSession, path: str, *, sep: str = ",",
 
 
 def read_csv_typed(spark: SparkSession, path: str, *, sep: str = ",", header: bool = True,
-                   sampling_ratio: float = 1.0, schema: StructType | str | None = None) -> DataFrame:
+                   multiline: bool = True, schema: StructType | str | None = None) -> DataFrame:
     """CSV with inferred (or given) types. Without a header the columns are
-    positional (``_c0``, ``_c1``...). Inference reads the whole input by default;
-    lower ``sampling_ratio`` on very large inputs."""
-    reader = spark.read.options(**CSV_QUOTING).option("header", header).option("sep", sep).option("multiLine", True)
+    positional (``_c0``, ``_c1``...). Inference reads the whole input. With quoted line
+    breaks (``multiline``) a file is one task; ``plans.loads.load_csv_by_lattice`` is not."""
+    reader = spark.read.options(**CSV_QUOTING).option("header", header).option("sep", sep).option("multiLine", multiline)
     if schema is not None:
         reader = reader.schema(schema)
     else:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
+        reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
