@@ -3,6 +3,8 @@ written intermediates and bounded slices of Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 
@@ -56,6 +58,21 @@ def written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What worker processes keep warm from task to task: dicts that may be emptied at any time.
+WARM: list[dict] = []
+
+
+def release_memory() -> None:
+    """Empty what earlier stages kept warm in this worker process, which is reused from stage to
+    stage, and give freed memory back to the system (where the C library can)."""
+    for kept in WARM:
+        kept.clear()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``max_bytes`` at once."""

@@ -19,6 +19,8 @@ from array import array
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from .common import WARM, release_memory
+
 CACHE_PIECES = 1_400_000
 CACHE_PIECE_CHARS = 48
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit
@@ -58,6 +60,7 @@ class Encoder(dict):
     @classmethod
     def of(cls, name: str) -> Encoder:
         if name not in cls._open:
+            release_memory()
             cls._open[name] = cls(name)
         return cls._open[name]
 
@@ -103,3 +106,6 @@ class Encoder(dict):
         head = self._plain(*match.groups()[:2], False) if match and match[3] is None else self.whole(pieces[0])
         pieces[0] = None  # its ids come from above
         return head + b"".join(map(self.__getitem__, pieces))
+
+
+WARM.append(Encoder._open)

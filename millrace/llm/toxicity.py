@@ -48,7 +48,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_texts, held_out, slices, written
+from .common import doc_texts, held_out, release_memory, slices, written
 from .quality import labelled_sample
 
 MAX_PER_LABEL = 5000
@@ -241,6 +241,7 @@ class Examples:
     def build(self) -> None:
         if self.words is not None:
             return
+        release_memory()
         known, ends, cols, times, labels, names = self.held
         self.held = ()
         numbers = numbered(known)
@@ -251,6 +252,7 @@ class Examples:
         self.index = BlockMaxIndex(len(numbers), ends, cols, vals)
         self.place = {int(i): k for k, i in enumerate(names)}
         self.words = Vocabulary(numbers)
+        release_memory()
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The known terms of a text and their weights; the length is that of all its terms."""
