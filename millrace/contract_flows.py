@@ -38,7 +38,7 @@ def q_read_xml_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = docs.columns
     docs.select(F.col(columns[-1]).alias("value"), F.col(columns[0]).alias("layout_id")).repartition("layout_id").write.partitionBy("layout_id").text(path)
     read = textparse.read_xml_layout(spark, path)
-    names = read.select(F.regexp_extract("path", "layout_id=([0-9]+)/", 1).cast("long").alias("layout_id"), F.posexplode("columns").alias("pos", "column_name"))
+    names = read.select(F.regexp_extract("path", "layout_id=([0-9]+)/", 1).cast("int").alias("layout_id"), F.posexplode("columns").alias("pos", "column_name"))
     return names.select("layout_id", (F.col("pos") + 1).cast("long").alias("pos"), "column_name")
 
 
