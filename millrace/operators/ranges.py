@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, TimestampType, VariantType
 
 MOST_RANGES = 4096
+ROWS_PER_RANGE = 250_000  # a larger input gets more ranges, and a task for each
 PER_RANGE = 32  # sampled keys per range
 RANGE = "__range"
 
@@ -63,11 +64,13 @@ class Ranges:
             raise NotRangeable("an order by nested values")
         self.keys = keys
         self.key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-        wanted = max(1, min(MOST_RANGES, ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        self.tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(1, min(MOST_RANGES, ranges or max(4 * self.tasks, -(-df.count() // ROWS_PER_RANGE))))
         self.bounds = self._bounds(schema, row_hash, wanted)
         amount = F.sum(weight) if weight is not None else F.count(F.lit(1))
-        per = {r[RANGE]: r["n"] for r in df.groupBy(self.range().alias(RANGE)).agg(amount.alias("n")).collect()}  # one row per range
-        self.sums = [per.get(i) or 0 for i in range(len(self.bounds) + 1)]
+        per = {r[RANGE]: r for r in df.groupBy(self.range().alias(RANGE)).agg(amount.alias("n"), F.count(F.lit(1)).alias("rows")).collect()}  # one row per range
+        self.rows = sum(r["rows"] for r in per.values())
+        self.sums = [per[i]["n"] or 0 if i in per else 0 for i in range(len(self.bounds) + 1)]
         *self.before, self.total = accumulate(self.sums, initial=0)
 
     def _bounds(self, schema: StructType, row_hash: Column, wanted: int) -> list[str]:
@@ -100,19 +103,26 @@ class Ranges:
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halved, lambda a: a["lo"])
 
+    def _dealt(self) -> DataFrame:
+        """``df`` with its ranges. Where the session's shuffle partitions would hold more than
+        ``ROWS_PER_RANGE`` rows each, the ranges are dealt to as many tasks as there are ranges."""
+        out = self.df.withColumn(RANGE, self.range())
+        large = len(self.sums) > self.tasks and self.rows > ROWS_PER_RANGE * self.tasks
+        return out.repartition(len(self.sums), RANGE) if large else out
+
     def _offset(self) -> Column:
         return F.get(F.expr(f"array({', '.join(f'{int(n)}L' for n in self.before)})"), F.col(RANGE))
 
     def numbered(self, name: str) -> DataFrame:
         """``df`` with 1..N in order: the rows are sorted once, within their ranges."""
         within = F.row_number().over(Window.partitionBy(RANGE).orderBy(*self.keys))
-        return self.df.withColumn(RANGE, self.range()).withColumn(name, (self._offset() + within).cast("long")).drop(RANGE)
+        return self._dealt().withColumn(name, (self._offset() + within).cast("long")).drop(RANGE)
 
     def running(self, name: str) -> DataFrame:
         """``df`` with the sum of the weights of all rows before it in order."""
         earlier = Window.partitionBy(RANGE).orderBy(*self.keys).rowsBetween(Window.unboundedPreceding, -1)
         inner = F.coalesce(F.sum(self.weight).over(earlier), F.lit(0))
-        return self.df.withColumn(RANGE, self.range()).withColumn(name, (self._offset() + inner).cast("long")).drop(RANGE)
+        return self._dealt().withColumn(name, (self._offset() + inner).cast("long")).drop(RANGE)
 
     def page(self, offset: int, limit: int) -> DataFrame:
         """Rows ``offset + 1 .. offset + limit`` in order. The counts name the ranges that hold
