@@ -18,17 +18,22 @@ from .sources.snapshots import Folder, KeyedTable, SnapshotTable
 from .streaming.merge_intake import Intake, Target, ledger, replay
 
 
+#: Text that one task writes into one CSV file.
+FILE_BYTES = 512 << 20
+
+
 def _write_lines(df: DataFrame, line: Column, header: str, path: str) -> None:
     """Ready-made CSV lines under a header, as other programs write them (rows may be short)."""
     df.select(line.alias(header)).write.option("header", True).option("sep", "\x01").csv(path)
 
 
 def q_csv_split_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in one CSV file, quotes and line breaks in its cells, read by many tasks."""
+    """All documents in one CSV file (one for each ``FILE_BYTES`` of text), quotes and line breaks in its cells, read by many tasks."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit('say "'), F.col("lang"), F.lit('"\n\n'), F.col("text")).alias("text"), "source")
     path = scratch_path(spark, "one_file")
-    files.write_csv(docs.coalesce(1), path)  # one file is the point
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files.write_csv(docs.coalesce(max(1, -(-size // FILE_BYTES))), path)  # few files of many splits each are the point
     rows, _ = read_csv_by_header(spark, path, columns=["doc_id", "text", "source"])
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source")
 
