@@ -9,9 +9,8 @@ touches); a span is added if its probability reaches its kind's
 calibrated threshold.
 Spans that match the base patterns always stay.
 
-The model is trained on a bounded sample: candidates of at most
-``MAX_TRAIN_DOCS`` documents that hold a digit or an ``@`` (the first by a hash of
-the id) and at most ``MAX_PER_DOC`` candidates each. Base spans are positive and
+The model is trained on all candidates of all documents that hold two digits or
+an ``@``, where they lie (:mod:`.boosting`). Base spans are positive and
 so are rewritten forms of them; candidates that fail their kind's validator and
 rewritten decoys are negative.
 
@@ -28,6 +27,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,7 @@ THRESHOLD = 0.95
 PRECISION = 0.98  # share of true spans asked of a calibrated threshold
 LEAST_CALIBRATION = 50  # spans of a kind below which its threshold is not calibrated
 SCORED = 4096  # candidates scored at once
-MAX_TRAIN_DOCS = 4000
-MAX_PER_DOC = 16
+FEATURES = 25
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -166,22 +165,21 @@ def _rewritten(text: str, start: int, kind: int, end: int, draw: random.Random)
     return out
 
 
-def examples(doc_id: int, text: str) -> list[tuple[list[float], int]]:
-    """Training rows of one document (at most ``MAX_PER_DOC`` spans)."""
+def examples(doc_id: int, text: str) -> Iterator[tuple[list[float], int]]:
+    """Training rows of one document: of all its base spans and candidates."""
     draw = random.Random(doc_id)
     spans = base_spans(text)
     base = {(a, k) for a, k, _ in spans}
     found = [(a, k, b) for a, k, b in candidates(text) if (a, k) not in base]
-    rows = []
-    for a, k, b in draw.sample(spans, min(len(spans), MAX_PER_DOC)):
-        rows.append((features(text, a, k, b), 1))
-        rows += [(features(t, x, kind, y), label) for t, x, kind, y, label in _rewritten(text, a, k, b, draw)]
+    for a, k, b in spans:
+        yield features(text, a, k, b), 1
+        for t, x, kind, y, label in _rewritten(text, a, k, b, draw):
+            yield features(t, x, kind, y), label
     known = Cover(spans)
-    for a, k, b in draw.sample(found, min(len(found), MAX_PER_DOC)):
+    for a, k, b in found:
         if known.meets(a, b):
             continue  # part of a base span under another kind: says nothing
-        rows.append((features(text, a, k, b), 0))
-    return rows
+        yield features(text, a, k, b), 0
 
 
 class Cover:
@@ -233,45 +231,41 @@ class Finder:
         return base, sorted(added)
 
 
-def calibrated(p: np.ndarray, y: np.ndarray, *, precision: float = PRECISION) -> float:
+def calibrated(p: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, *, precision: float = PRECISION) -> float:
     """The smallest threshold from which on, at every higher one, the share of true spans among those
-    that reach it is at least ``precision``; ``THRESHOLD`` where too few say so, never below a half."""
-    if len(p) < LEAST_CALIBRATION:
+    that reach it is at least ``precision``; ``THRESHOLD`` where too few say so, never below a half. With
+    ``n`` each ``p`` stands for so many spans, ``y`` of them true."""
+    n = np.ones(len(p)) if n is None else n
+    if n.sum() < LEAST_CALIBRATION:
         return THRESHOLD
     order = np.argsort(-p, kind="stable")
-    share = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
+    share = np.cumsum(y[order]) / np.cumsum(n[order])
     last = np.append(p[order][1:] != p[order][:-1], True)  # equal probabilities stand or fall together
     good = np.flatnonzero((np.minimum.accumulate(np.where(last, share, 1.0)) >= precision) & last)
     return max(0.5, float(p[order][good[-1]])) if len(good) else 1.0
 
 
-def train(docs: DataFrame, *, most: int = MAX_TRAIN_DOCS) -> Finder:
-    """The model, learned from three quarters of a bounded sample of documents, and per kind a
-    threshold calibrated on the other quarter."""
-    spark = docs.sparkSession
-    texts = doc_texts(docs).where("doc_id is not null")
-    ids = texts.where(F.col("text").rlike("[0-9]{2}|@")).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    ids = written(ids, spark, "pii-sample").distinct()
+def train(docs: DataFrame) -> Finder:
+    """The model, learned from the candidates of three quarters of all documents, and per kind a threshold
+    calibrated on the other quarter."""
+    texts = doc_texts(docs).where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9]{2}|@"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [(doc, i, x, y) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)
-                    for i, (x, y) in enumerate(examples(doc, text.as_py()))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.float64())), pa.array([r[3] for r in rows], pa.int32())],
-                names=["doc_id", "i", "x", "y"])
-
-    sample = texts.join(F.broadcast(ids), "doc_id").mapInArrow(run, "doc_id long, i int, x array<double>, y int").toPandas()
-    sample = sample.sort_values(["doc_id", "i"])
-    x = np.array(sample["x"].tolist()).reshape(len(sample), -1) if len(sample) else np.empty((0, 1))
-    y, aside = sample["y"].to_numpy(float), sample["doc_id"].to_numpy() % 4 == 0
-    model = boosting.fit(x[~aside], y[~aside])
-    if not aside.any():
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                found = enumerate(examples(doc, text.as_py()))
+                while rows := list(islice(found, SCORED)):
+                    part = [boosting.ASIDE if doc % 4 == 0 else boosting.CURVE if (doc // 4 + i) % 5 == 0 else boosting.FIT for i, _ in rows]
+                    yield pa.RecordBatch.from_arrays([pa.array([x for _, (x, _) in rows], pa.list_(pa.float64())), pa.array([y for _, (_, y) in rows], pa.int32()),
+                                                      pa.array(part, pa.int32())], names=["x", "y", "part"])
+
+    rows = written(texts.mapInArrow(run, "x array<double>, y int, part int"), docs.sparkSession, "candidates")
+    model, blocks = boosting.fit(rows, FEATURES)
+    counts = boosting.odds_counts(blocks, model, FEATURES, len(KINDS))
+    if counts is None:
         return Finder(model)
-    p = model.probability(x[aside])
-    of = [x[aside][:, k] > 0 for k in range(len(KINDS))]
-    return Finder(model, tuple(calibrated(p[kind], y[aside][kind]) for kind in of))
+    p = 1 / (1 + np.exp(-boosting.ODDS[:-1]))
+    return Finder(model, tuple(calibrated(p[n > 0], ones[n > 0], n[n > 0]) for n, ones in counts))
 
 
 def _written(spans: list[tuple[int, int, int]]) -> str:

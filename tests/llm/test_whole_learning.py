@@ -41,3 +41,20 @@ def test_every_row_is_in_a_pair(spark):
         good |= set(d[:, 0].astype(int))
         bad |= set(-d[:, 1].astype(int))
     assert good == {i for i in range(1000) if i % 50} and bad == {i for i in range(1000) if i % 50 == 0}
+
+
+def test_pii_learns_from_every_candidate(spark):
+    from millrace.llm import boosting, pii
+
+    text = "call 212-555-0188 or +1 (212) 555-0188, a@b.org; " * 40  # more spans than were drawn of a document
+    rows = list(pii.examples(1, text))
+    assert sum(y for _, y in rows) >= 2 * 80 and sum(1 - y for _, y in rows) > 80 and {len(x) for x, _ in rows} == {pii.FEATURES}
+    x = [([float(i % 2), float(i), 0.0], int(i % 2 and i > 300), i % 7 and (i % 5 == 0)) for i in range(1000)]
+    frame = spark.createDataFrame([(v, y, int(bool(p))) for v, y, p in x], "x array<double>, y int, part int").repartition(3)
+    model, blocks = boosting.fit(frame, 3, trees=8)
+    assert boosting.total(blocks, 3, boosting.FIT, lambda b, y: np.array([len(y), y.sum()])).tolist() == [
+        sum(not p for *_, p in x), sum(y for _, y, p in x if not p)]
+    p = model.probability(np.array([v for v, *_ in x]))
+    assert np.mean((p > 0.5) == np.array([y for _, y, _ in x])) > 0.97
+    bins = np.column_stack([np.searchsorted(c, np.array([v[f] for v, *_ in x])) for f, c in enumerate(boosting.edges(frame, 3))])
+    assert np.allclose(model.binned_margin(bins), model.margin(np.array([v for v, *_ in x])))
