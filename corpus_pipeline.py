@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import exact_dedup, mixing, ngram_join, packing, toxicity
-from millrace.llm.common import table, workers_find_package, written
+from millrace.llm.common import bounded_batches, table, workers_find_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -31,6 +31,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a shingle similarity of 0.75 the one with the smallest doc_id."""
     workers_find_package(spark)
+    bounded_batches(spark)
     return ngram_join.keep_first(docs)
 
 
@@ -42,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences; the documents' text stays behind."""
     workers_find_package(spark)
+    bounded_batches(spark)
     return packing.pack(docs)
 
 

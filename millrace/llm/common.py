@@ -21,6 +21,10 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Text handled at once inside a Python worker; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
 
+#: Rows sent to a Python worker at once; a longer single row goes alone.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def workers_find_package(spark: SparkSession) -> None:
     """Python workers started from now on can import this package where it is
@@ -32,8 +36,16 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session hold about ``BATCH_BYTES`` at most, as executor and
+    worker each hold a batch, and copies of it while it grows; the user's own setting stays."""
+    if _BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     workers_find_package(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -62,20 +74,28 @@ def written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 WARM: list[dict] = []
 
 
+def give_back() -> None:
+    """Give freed memory back to the system (where the libraries can): workers wait between
+    tasks, and next to other workers, with all that they have not given back."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def release_memory() -> None:
     """Empty what earlier stages kept warm in this worker process, which is reused from stage to
-    stage, and give freed memory back to the system (where the C library can)."""
+    stage, and give freed memory back to the system."""
     for kept in WARM:
         kept.clear()
     gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    give_back()
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` holds about ``max_bytes`` at once."""
+    """Cut Arrow batches so that ``column`` holds about ``max_bytes`` at once. After the
+    last one the worker gives back what its task has freed."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -87,6 +107,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 start, size = i, 0
             size += n
         yield batch.slice(start)
+    batch = ends = None
+    give_back()
 
 
 def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

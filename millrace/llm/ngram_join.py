@@ -58,7 +58,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
-from .common import doc_texts, raw_texts, slices, written
+from .common import doc_texts, give_back, raw_texts, slices, written
 from .components import connected
 
 WORDS = 5
@@ -173,8 +173,13 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def counted() -> tuple[np.ndarray, np.ndarray]:
-        found, n = np.unique(np.concatenate(window), return_counts=True)
-        found, n = found[n > 1], n[n > 1]
+        every = np.concatenate(window)
+        window.clear()  # the sets are many; one copy of them at a time
+        every.sort()
+        again = every[1:] == every[:-1]
+        found, n = np.unique(every[1:][again], return_counts=True)
+        n += 1
+        del every, again
         both, at = np.unique(np.concatenate([table[0], found]), return_inverse=True)
         total = np.bincount(at, np.concatenate([table[1], n]), minlength=len(both)).astype(np.int64)
         if len(both) > TASK_TABLE:
@@ -196,9 +201,10 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         window += sets
         held += sum(map(len, sets))
         if held > TASK_WINDOW:
-            table, window, held = counted(), [], 0
+            table, held = counted(), 0
     if window:
         table = counted()
+        give_back()
     keep = np.argsort(-table[1], kind="stable")[:TASK_LISTS]
     keep = keep[table[1][keep] >= TASK_LEAST]
     k = len(keep)

@@ -130,7 +130,7 @@ def pack(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .tokens import Encoder
 
-        encoder, end = Encoder.of(vocabulary), end_id.to_bytes(_ID, "little")
+        encoder, end = Encoder.of(vocabulary, again=True), end_id.to_bytes(_ID, "little")
         packer = Packer(TaskContext.get().partitionId() << 32, tiers, step_tokens)
         for batch in slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):

@@ -7,7 +7,8 @@ goes straight to the library's BPE model (there the pre-tokenizer has nothing
 to decide); any other piece is encoded by the whole tokenizer, and so is any
 text with white space around a cut that the pre-tokenizer could merge. The
 cache is emptied when it holds ``CACHE_PIECES`` pieces and takes short pieces
-only, which bounds a worker's memory.
+only, which bounds a worker's memory. Where memory is scarcer than time it takes
+a piece when it is met again: most pieces are met once and never asked for.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from .common import WARM, release_memory
 
 CACHE_PIECES = 1_400_000
 CACHE_PIECE_CHARS = 48
+SEEN = 1 << 24  # marks for pieces met once, a bit each
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit
 _SUSPECT = re.compile(r" (?:\s|\Z)")  # a quick test that most texts fail
 _UNSAFE = re.compile(r"\s \s|\s \Z")
@@ -45,8 +47,9 @@ class Encoder(dict):
     #: One per vocabulary and worker process, so that later tasks find it warm.
     _open: dict[str, Encoder] = {}
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, again: bool = False):
         super().__init__({None: b""})
+        self.met = bytearray(SEEN // 8) if again else None
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.model = self.tokenizer.model
@@ -58,12 +61,20 @@ class Encoder(dict):
         self.line_break = self.whole("\n")
 
     @classmethod
-    def of(cls, name: str) -> Encoder:
-        if name not in cls._open:
+    def of(cls, name: str, again: bool = False) -> Encoder:
+        """This worker's encoder; ``again``: its cache takes pieces that are met again."""
+        if name not in cls._open or (cls._open[name].met is not None) != again:
             release_memory()
-            cls._open[name] = cls(name)
+            cls._open[name] = cls(name, again)
         return cls._open[name]
 
+    def _met(self, piece: str) -> bool:
+        """Whether a piece was met before (or another one that shares its mark)."""
+        at = hash(piece) % SEEN
+        byte, mark = self.met[at >> 3], 1 << (at & 7)
+        self.met[at >> 3] = byte | mark
+        return bool(byte & mark)
+
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -91,7 +102,7 @@ class Encoder(dict):
                 return self[word + marks] + self.line_break + self._plain(line, marks_there, False)
         else:
             ids = self.whole(self.space + piece)
-        if len(piece) <= CACHE_PIECE_CHARS:
+        if len(piece) <= CACHE_PIECE_CHARS and (self.met is None or self._met(piece)):
             self[piece] = ids
         return ids
 
@@ -101,6 +112,8 @@ class Encoder(dict):
         if len(self) > CACHE_PIECES:
             self.clear()
             self[None] = b""
+            if self.met is not None:
+                self.met = bytearray(SEEN // 8)
         pieces = text.split(" ")
         match = _PLAIN.fullmatch(pieces[0])  # the first piece has no space before it
         head = self._plain(*match.groups()[:2], False) if match and match[3] is None else self.whole(pieces[0])

@@ -151,13 +151,16 @@ class BlockMaxIndex:
         long = np.argsort(-often, kind="stable")[:LONG_LISTS]
         self.lane = np.full(n_terms, -1, np.int32)
         self.lane[long] = np.arange(len(long))
-        lane, at = self.lane[cols], self.place[owner]
         self.lists = np.zeros((self.blocks, len(long), BLOCK), np.float32)
-        self.lists[at[lane >= 0] // BLOCK, lane[lane >= 0], at[lane >= 0] % BLOCK] = vals[lane >= 0]
+        for a in range(0, len(cols), 1 << 18):
+            part = slice(a, a + (1 << 18))
+            lane, at = self.lane[cols[part]], self.place[owner[part]]
+            listed = lane >= 0
+            self.lists[at[listed] // BLOCK, lane[listed], at[listed] % BLOCK] = vals[part][listed]
         self.most = np.ascontiguousarray(self.lists.max(axis=2, initial=0).T)
-        short = np.flatnonzero(lane < 0)
+        short = np.flatnonzero(self.lane[cols] < 0).astype(np.int32)
         short = short[np.argsort(cols[short], kind="stable")]
-        self.at, self.weights = at[short].astype(np.intp), vals[short]
+        self.at, self.weights = self.place[owner[short]], vals[short].astype(np.float32)
         often[long] = 0
         self.sizes, self.starts = often, np.cumsum(often) - often
         self.query = np.zeros(n_terms)
@@ -246,8 +249,11 @@ class Examples:
         self.held = ()
         numbers = numbered(known)
         self.weights = term_weights(len(numbers), ends, cols, labels)
-        vals = (1 + np.log(times)) * self.weights[cols]
+        vals = np.log(times)
+        vals += 1
+        vals *= self.weights[cols]
         length = np.sqrt(np.add.reduceat(vals * vals, ends[:-1]))  # no example is without a term
+        del times
         vals /= np.repeat(length, np.diff(ends))
         self.index = BlockMaxIndex(len(numbers), ends, cols, vals)
         self.place = {int(i): k for k, i in enumerate(names)}
