@@ -22,7 +22,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 
 #: Rows sent to a Python worker at once; a longer single row goes alone.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -92,6 +92,20 @@ def release_memory() -> None:
     give_back()
 
 
+def start_afresh(spark: SparkSession) -> None:
+    """Before a stage: worker processes drop what earlier stages kept, and the executors' JVMs
+    collect their garbage, as they give unused heap back to the system only then. A task for
+    each core, so a worker or a JVM may be missed; no result depends on it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
+        yield from batches
+
+    workers_find_package(spark)
+    cores = spark.sparkContext.defaultParallelism
+    tasks = spark.range(0, cores, 1, cores).mapInArrow(run, "id long")
+    tasks.select(F.reflect(F.lit("java.lang.System"), F.lit("gc"))).collect()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``max_bytes`` at once. After the

@@ -8,7 +8,8 @@ to decide); any other piece is encoded by the whole tokenizer, and so is any
 text with white space around a cut that the pre-tokenizer could merge. The
 cache is emptied when it holds ``CACHE_PIECES`` pieces and takes short pieces
 only, which bounds a worker's memory. Where memory is scarcer than time it takes
-a piece when it is met again: most pieces are met once and never asked for.
+a piece when it is met again (most pieces are met once and never asked for) and
+holds ``AGAIN_PIECES`` at most.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from tokenizers import Tokenizer
 from .common import WARM, release_memory
 
 CACHE_PIECES = 1_400_000
+AGAIN_PIECES = 200_000
 CACHE_PIECE_CHARS = 48
 SEEN = 1 << 24  # marks for pieces met once, a bit each
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit
@@ -109,7 +111,7 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         if _SUSPECT.search(text) and _UNSAFE.search(text):
             return self.whole(text)
-        if len(self) > CACHE_PIECES:
+        if len(self) > (CACHE_PIECES if self.met is None else AGAIN_PIECES):
             self.clear()
             self[None] = b""
             if self.met is not None:

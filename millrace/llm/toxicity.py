@@ -249,12 +249,14 @@ class Examples:
         self.held = ()
         numbers = numbered(known)
         self.weights = term_weights(len(numbers), ends, cols, labels)
-        vals = np.log(times)
-        vals += 1
-        vals *= self.weights[cols]
-        length = np.sqrt(np.add.reduceat(vals * vals, ends[:-1]))  # no example is without a term
+        vals = np.empty(len(cols))
+        for a in range(0, len(labels), 1024):  # in lots of examples, as the index is
+            at = ends[a:a + 1025]
+            part = slice(at[0], at[-1])
+            lot = (np.log(times[part]) + 1) * self.weights[cols[part]]
+            length = np.sqrt(np.add.reduceat(lot * lot, at[:-1] - at[0]))  # no example is without a term
+            vals[part] = lot / np.repeat(length, np.diff(at))
         del times
-        vals /= np.repeat(length, np.diff(ends))
         self.index = BlockMaxIndex(len(numbers), ends, cols, vals)
         self.place = {int(i): k for k, i in enumerate(names)}
         self.words = Vocabulary(numbers)

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from millrace.llm import common, ngram_join, toxicity
 
 tokens = pytest.importorskip("millrace.llm.tokens")
@@ -64,3 +65,44 @@ def test_a_worker_gives_memory_back_after_its_last_batch(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(["a", "b"])], names=["text"])
     assert sum(b.num_rows for b in common.slices(iter([batch, batch]))) == 4 and given == [1]
     assert list(common.slices(iter([]))) == [] and given == [1, 1]
+
+
+def test_batches_leave_room_for_copies():
+    assert common.BATCH_BYTES <= common.SLICE_BYTES // 2
+
+
+def test_cache_of_pieces_met_again_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "AGAIN_PIECES", 30)
+    every, again = tokens.Encoder("word_bpe_49k.json"), tokens.Encoder("word_bpe_49k.json", again=True)
+    texts = [f"a{i % 200}b c{i % 200}d e{i % 200}f" for i in range(600)]
+    held = []
+    for t in texts:
+        assert again.encode(t) == every.encode(t)
+        held.append(len(again))
+    assert max(held) <= 33 and len(every) > 300
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_start_with_what_was_kept_given_back(spark, tmp_path, stage):
+    def keep(batches):
+        common.WARM[:] = [{"kept": 1}]
+        yield from batches
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, common.WARM))] * batch.num_rows, pa.int64())], names=["id"])
+
+    def collections():
+        beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans)
+
+    spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(1, "a b c d e f", "en", "web")], "doc_id long, text string, lang string, source string")
+    cores = spark.sparkContext.defaultParallelism
+    tasks = spark.range(0, 4 * cores, 1, cores)
+    assert tasks.mapInArrow(keep, "id long").count() == 4 * cores
+    before = collections()
+    stage(spark, docs, str(tmp_path))
+    assert collections() > before
+    met = [r["id"] for r in tasks.mapInArrow(kept, "id long").collect()]
+    assert len(met) == 4 * cores and sum(met) <= len(met) // 2  # a worker may be missed
