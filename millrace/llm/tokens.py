@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from .common import WARM, release_memory
 
 CACHE_PIECES = 1_400_000
-AGAIN_PIECES = 200_000
+AGAIN_PIECES = 600_000
 CACHE_PIECE_CHARS = 48
 SEEN = 1 << 24  # marks for pieces met once, a bit each
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit
